@@ -2,7 +2,8 @@
 
 A posting has: entity columns, day, process_order, at, posting_no, account, kind (Deposit, Withdrawal
 or Transfer), amount, source, destination, description. Inside an account postings follow
-(day, process_order, at, posting_no).
+(day, process_order, at, posting_no). Amounts have 22 digits: a posting can be the daily sum of very
+many sales.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.money import AMOUNT, TOTAL
+from ..functions.money import TOTAL
 from . import ordered
 
 ORDER = ["day", "process_order", "at", "posting_no"]
@@ -57,7 +58,7 @@ def posting(
         (posting_no if posting_no is not None else F.lit(0)).cast("bigint").alias("posting_no"),
         F.lit(account).alias("account"),
         F.lit(kind).alias("kind"),
-        amount.cast(AMOUNT).alias("amount"),
+        amount.cast(TOTAL).alias("amount"),
         F.lit(source).alias("source") if source else none.alias("source"),
         F.lit(destination).alias("destination") if destination else none.alias("destination"),
         (F.lit(description) if isinstance(description, str) else description).alias("description"),
@@ -82,7 +83,7 @@ def transfer(df, entity, day, process_order, source, destination, amount, out_te
         F.col("_side.n").cast("bigint").alias("posting_no"),
         F.col("_side.account").alias("account"),
         F.lit("Transfer").alias("kind"),
-        F.col("_amount").cast(AMOUNT).alias("amount"),
+        F.col("_amount").cast(TOTAL).alias("amount"),
         F.lit(source).alias("source"),
         F.lit(destination).alias("destination"),
         F.col("_side.description").alias("description"),
@@ -181,7 +182,7 @@ def deficit_cascade(
         balance = {a: (state[a] + d[a]).cast(TOTAL) for a in accounts}
         fixes = []
         for short, payer in chain:
-            needed = (F.abs(balance[short]) * F.lit(buffer_pct).cast("decimal(3,2)") + F.lit(buffer_abs).cast(AMOUNT)).cast(TOTAL)
+            needed = (F.abs(balance[short]) * F.lit(buffer_pct).cast("decimal(3,2)") + F.lit(buffer_abs).cast(TOTAL)).cast(TOTAL)
             fix = F.when(balance[short] < 0, needed).otherwise(zero)
             balance[short] = (balance[short] + fix).cast(TOTAL)
             balance[payer] = (balance[payer] - fix).cast(TOTAL)
@@ -198,7 +199,7 @@ def deficit_cascade(
             F.lit(90 + i).alias("process_order"),
             F.lit(2 * i + j).cast("bigint").alias("posting_no"),
             F.lit(account).alias("account"),
-            F.col(f"f{i}").cast(AMOUNT).alias("amount"),
+            F.col(f"f{i}").cast(TOTAL).alias("amount"),
             F.lit(payer).alias("source"),
             F.lit(short).alias("destination"),
             F.lit(text).alias("description"),
@@ -240,7 +241,7 @@ def year_end_sweep(postings: DataFrame, entity: Sequence[str], day: Column, keep
         .groupBy(*entity)
         .agg(*[F.coalesce(F.max(F.when(F.col("account") == a, F.col("balance"))), F.lit(0).cast(TOTAL)).alias(a) for a in ACCOUNTS])
     )
-    limit = F.lit(keep).cast(AMOUNT)
+    limit = F.lit(keep).cast(TOTAL)
     return union(
         [
             transfer(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.draws import draw
 from ..functions.money import AMOUNT, RATE, UNIT, clamp
+from ..session import partitions
 from . import skew
 from .calendar import next_date
 
@@ -52,9 +53,16 @@ def factor_cost(df: DataFrame, base: object, factors: Sequence[Column], low: obj
     return df.withColumn(name, clamp(raw, low, high).cast(AMOUNT))
 
 
-def explode_units(df: DataFrame, qty_col: str, name: str = "unit_no") -> DataFrame:
-    """One row per unit. The generator streams; no number table and no join."""
-    return df.filter(F.col(qty_col) >= 1).withColumn(name, F.explode(F.sequence(F.lit(1), F.col(qty_col).cast("int"))))
+def explode_units(df: DataFrame, qty_col: str, name: str = "unit_no", spread_by: str | None = None) -> DataFrame:
+    """One row per unit. The generator streams; no number table and no join.
+
+    When a row opens to very many units, ``spread_by`` shuffles the (much smaller) input by a key first,
+    with a fixed number of partitions, so that the units are not made by the few tasks that hold it.
+    """
+    rows = df.filter(F.col(qty_col) >= 1)
+    if spread_by:
+        rows = rows.repartition(partitions(df.sparkSession), spread_by)
+    return rows.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(qty_col).cast("int"))))
 
 
 def markup(df: DataFrame, cost: str, tier: Column, low: int, high: int, top: int, *keys: str, salt: str = "markup") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import date_key, date_of
 from ..functions.draws import draw as draw_col, weighted_bucket
-from ..functions.money import AMOUNT, UNIT, clamp, total
+from ..functions.money import AMOUNT, TOTAL, UNIT, clamp, total
 from ..operators import baskets, expenses, ledger, loans, pricing
 from ..operators.calendar import EVERY_YEAR, YEAR_2024, calendar_for
 from ..operators.picks import preferred_pick
@@ -61,7 +61,7 @@ def weighted_bucket_query(t):
 def preferred_pick_query(t):
     children = t.part.groupBy("p_type", "p_brand").agg((F.max("p_size") >= 49).alias("fast"))
     types = F.array(*[F.lit(x) for x in ("ECONOMY", "STANDARD", "LARGE", "SMALL", "MEDIUM", "PROMO")])
-    parents = t.orders.select(
+    parents = t.orders_spread.select(
         "o_orderkey", F.element_at(types, (draw_col("type", 6, "o_orderkey") + 1).cast("int")).alias("p_type")
     )
     return preferred_pick(parents, children, "p_type", "o_orderkey", "p_brand", "fast")
@@ -116,7 +116,7 @@ def trip_cost_allocation(t):
 )
 def unit_cost_query(t):
     pct = ((draw_col("sellable", 26, "l_row") + 65).cast("decimal(4,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(5,2)")
-    rows = t.lineitem.select("l_row", "l_extendedprice", "l_quantity")
+    rows = t.lineitem_spread.select("l_row", "l_extendedprice", "l_quantity")
     return pricing.unit_cost(rows, "l_extendedprice", "l_quantity", pct).select(
         "l_row", "sellable_items", "unsellable_items", "cost_per_item"
     )
@@ -144,7 +144,7 @@ def factor_sql(salt: str, expr: str, values: dict) -> str:
     SELECT l_row, {money('least(greatest(cents, 35000000), 85000000)')} AS cost FROM c""",
 )
 def factor_cost_query(t):
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+    rows = t.lineitem_spread.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_row",
         "p_type",
         F.quarter("l_date").alias("q"),
@@ -165,7 +165,7 @@ def factor_cost_query(t):
 )
 def unit_explosion(t):
     """Every unit gets its own grade; counted per product."""
-    units = pricing.explode_units(t.lineitem.select("l_partkey", "l_row", "l_quantity"), "l_quantity")
+    units = pricing.explode_units(t.lineitem_spread.select("l_partkey", "l_row", "l_quantity"), "l_quantity")
     return units.groupBy("l_partkey").agg(
         F.count("*").alias("units"), F.count_if(draw_col("grade", 100, "l_row", "unit_no") < 70).alias("grade_1")
     )
@@ -189,7 +189,7 @@ DATED = f"""{SCORED}, nxt AS (SELECT full_date AS f, min(CASE WHEN is_open THEN
 
 
 def priced_items(t) -> DataFrame:
-    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
+    rows = t.lineitem_spread.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_row",
         "l_orderkey",
         "l_date",
@@ -334,7 +334,7 @@ PROGRESS = f"""{PAYMENTS}, paid AS (SELECT loan_id, sum(actual) AS paid, count(*
 
 def loan_book(t) -> DataFrame:
     first = t.orders.groupBy("o_custkey").agg(F.min("o_date").alias("loan_date"))
-    book = t.customer.join(first, F.col("c_custkey") == F.col("o_custkey")).select(
+    book = t.customer_spread.join(first, F.col("c_custkey") == F.col("o_custkey")).select(
         F.col("c_custkey").alias("loan_id"),
         "loan_date",
         clamp(F.abs("c_acctbal") * 1000, 2000000, 8000000).cast(AMOUNT).alias("principal"),
@@ -419,20 +419,20 @@ def expense_columns(src: str) -> str:
 
 @query("recurring_expenses", expense_columns(RECURRING))
 def recurring_expenses(t):
-    return expenses.recurring_expenses(t.supplier, "s_suppkey", calendar_for(t.orders, "o_orderdate", EVERY_YEAR))
+    return expenses.recurring_expenses(t.supplier_spread, "s_suppkey", calendar_for(t.orders, "o_orderdate", EVERY_YEAR))
 
 
 @query("monthly_variable_expense", expense_columns(MONTHLY))
 def monthly_variable_expense(t):
-    return expenses.monthly_variable(t.supplier, "s_suppkey", calendar_for(t.orders, "o_orderdate", EVERY_YEAR))
+    return expenses.monthly_variable(t.supplier_spread, "s_suppkey", calendar_for(t.orders, "o_orderdate", EVERY_YEAR))
 
 
 @query("adhoc_expenses", expense_columns(ADHOC))
 def adhoc_expenses(t):
     cal = calendar_for(t.orders, "o_orderdate", EVERY_YEAR)
     return expenses.adhoc_expenses(
-        t.supplier, "s_suppkey", cal, "Transport", (30, 40), expenses.TRANSPORT_BANDS, 100
-    ).unionByName(expenses.adhoc_expenses(t.supplier, "s_suppkey", cal, "Other", (40, 60), expenses.OTHER_BANDS, 40))
+        t.supplier_spread, "s_suppkey", cal, "Transport", (30, 40), expenses.TRANSPORT_BANDS, 100
+    ).unionByName(expenses.adhoc_expenses(t.supplier_spread, "s_suppkey", cal, "Other", (40, 60), expenses.OTHER_BANDS, 40))
 
 
 def store_expenses(t) -> DataFrame:
@@ -577,7 +577,7 @@ def event_postings(t) -> DataFrame:
         F.col("event_id").alias("posting_no"),
         F.col("_side.account").alias("account"),
         F.col("_side.kind").alias("kind"),
-        F.col("value").alias("amount"),
+        F.col("value").cast(TOTAL).alias("amount"),
         F.col("_side.source").alias("source"),
         F.col("_side.destination").alias("destination"),
         F.col("_side.description").alias("description"),

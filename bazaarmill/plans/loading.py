@@ -84,7 +84,7 @@ def insert_select_load(t):
 def number_sequence(t):
     """Numbers 1..quantity for each row, as a generator on the row: no number table, no cross join."""
     return (
-        t.lineitem.select(F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("l_quantity").cast("bigint"))).alias("n"), "l_partkey")
+        t.lineitem_spread.select(F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("l_quantity").cast("bigint"))).alias("n"), "l_partkey")
         .groupBy("n")
         .agg(F.count(F.lit(1)).alias("rows_with_n"), F.sum("l_partkey").alias("part_sum"))
     )

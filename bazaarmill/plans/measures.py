@@ -10,10 +10,9 @@ from ..operators import ledger
 from ..operators.calendar import EVERY_YEAR, calendar_for
 from ..registry import query
 from .domain import (
-    CASCADE, DATED, DAY_OF_KEY, EXPENSES, PAYMENTS, PRICED, PROGRESS, SCORED, dated_items, full_ledger, loan_payments, loan_state, money,
+    CASCADE, DATED, EXPENSES, PAYMENTS, PROGRESS, SCORED, dated_items, full_ledger, loan_payments, loan_state, money,
     sales_by_day, scored_items, store_expenses,
 )
-from .reports import lines_with_part
 from .sqltext import LINEITEM, ORDERS, PART, dbl, key_of, share, txt
 
 COST_SQL = "CAST(l_extendedprice * 0.60 AS DECIMAL(12,2))"
@@ -238,7 +237,10 @@ def bell_roi(t):
     f"""SELECT p_type, {dbl('sum(l_extendedprice)')} AS revenue, {dbl(f'sum({COST_SQL})')} AS cost, {dbl(f'sum(l_extendedprice) - sum({COST_SQL})')} AS profit FROM {LINEITEM} JOIN {PART} p ON p_partkey = l_partkey GROUP BY 1""",
 )
 def category_profitability(t):
-    g = lines_with_part(t).groupBy("p_type").agg(total("l_extendedprice").alias("revenue"), total(cost()).alias("cost"))
+    per_part = t.lineitem.groupBy("l_partkey").agg(total("l_extendedprice").alias("r"), total(cost()).alias("c"))
+    g = per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type").agg(
+        total("r").alias("revenue"), total("c").alias("cost")
+    )
     return g.withColumn("profit", (F.col("revenue") - F.col("cost")).cast(TOTAL))
 
 

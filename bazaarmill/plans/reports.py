@@ -14,7 +14,7 @@ from .domain import (
     CASCADE, DATED, E_SQL, LOANS, PAYMENTS, POSTING_CALENDAR, PROGRESS, discounted_items, event_postings, full_ledger, loan_book,
     loan_payments, loan_state, money, _posting_calendar as posting_calendar,
 )
-from .sqltext import CAL_ITEMS, CAL_ORDERS, EVENTS, LINEITEM, ORDERS, PART, SUPPLIER, dbl, draw, key_of, mean, share, txt
+from .sqltext import CAL_ORDERS, EVENTS, LINEITEM, ORDERS, PART, SUPPLIER, dbl, draw, key_of, mean, share, txt
 
 
 def pct_by(g: DataFrame, name: str = "pct", n: str = "n") -> DataFrame:
@@ -156,11 +156,17 @@ def lines_with_part(t) -> DataFrame:
     SELECT p_type, n, {share('n', 'sum(n) OVER ()')} AS pct, {dbl('a')} AS min_cost, {dbl('b')} AS max_cost, avg_cost FROM g ORDER BY n DESC, p_type""",
 )
 def category_cost_mix(t):
-    g = lines_with_part(t).groupBy("p_type").agg(
-        F.count("*").alias("n"),
-        F.min("l_extendedprice").alias("min_cost"),
-        F.max("l_extendedprice").alias("max_cost"),
-        mean_col("l_extendedprice").alias("avg_cost"),
+    per_part = t.lineitem.groupBy("l_partkey").agg(
+        F.count("*").alias("c"),
+        F.min("l_extendedprice").alias("lo"),
+        F.max("l_extendedprice").alias("hi"),
+        total("l_extendedprice").alias("amount"),
+    )
+    g = per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type").agg(
+        F.sum("c").alias("n"),
+        F.min("lo").alias("min_cost"),
+        F.max("hi").alias("max_cost"),
+        (F.sum("amount").cast("double") / F.sum("c")).alias("avg_cost"),
     )
     return pct_by(g).orderBy(F.desc("n"), "p_type")
 
@@ -172,12 +178,19 @@ def category_cost_mix(t):
 )
 def size_tier_profile(t):
     """Averages are exact doubles, not the truncated integers of an integer average."""
-    return lines_with_part(t).groupBy(tier().alias("tier")).agg(
-        F.count("*").alias("purchases"),
-        F.min("l_quantity").alias("min_items"),
-        F.max("l_quantity").alias("max_items"),
-        (F.sum("l_quantity").cast("double") / F.count("*")).alias("avg_items"),
-        (F.sum(draw_col("sellable", 26, "l_row") + 65).cast("double") / F.count("*")).alias("avg_sellable_pct"),
+    per_part = t.lineitem.groupBy("l_partkey").agg(
+        F.count("*").alias("c"),
+        F.min("l_quantity").alias("lo"),
+        F.max("l_quantity").alias("hi"),
+        F.sum("l_quantity").alias("q"),
+        F.sum(draw_col("sellable", 26, "l_row") + 65).alias("ok"),
+    )
+    return per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy(tier().alias("tier")).agg(
+        F.sum("c").alias("purchases"),
+        F.min("lo").alias("min_items"),
+        F.max("hi").alias("max_items"),
+        (F.sum("q").cast("double") / F.sum("c")).alias("avg_items"),
+        (F.sum("ok").cast("double") / F.sum("c")).alias("avg_sellable_pct"),
     )
 
 
@@ -523,7 +536,10 @@ def cash_flow_by_account(t):
     FROM {LINEITEM} JOIN {PART} p ON p_partkey = l_partkey GROUP BY 1 ORDER BY items DESC, p_type""",
 )
 def category_sell_through(t):
-    g = lines_with_part(t).groupBy("p_type").agg(F.count("*").alias("items"), F.count_if(F.col("l_linestatus") == "F").alias("sold"))
+    per_part = t.lineitem.groupBy("l_partkey").agg(F.count("*").alias("c"), F.count_if(F.col("l_linestatus") == "F").alias("s"))
+    g = per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type").agg(
+        F.sum("c").alias("items"), F.sum("s").alias("sold")
+    )
     return g.withColumn("sell_through_pct", share_col("sold", "items")).orderBy(F.desc("items"), "p_type")
 
 

@@ -8,7 +8,7 @@ from ..functions.dates import date_key, date_of, day_name, month_name, us_week
 from ..functions.draws import draw as draw_col
 from ..functions.money import TOTAL, clamp, mean as mean_col, naira, share as share_col, total
 from ..operators import ordered, skew
-from ..operators.calendar import EVERY_YEAR, YEAR_2024, calendar_for, next_date, next_days
+from ..operators.calendar import EVERY_YEAR, YEAR_2024, calendar_for, next_date
 from ..registry import query
 from .sqltext import (
     CAL_EVENTS, CAL_ITEMS, CAL_ORDERS, CUSTOMER, DAYS, EVENTS, LINEITEM, MONTHS, ORDERS, PART, SUPPLIER,
@@ -194,7 +194,7 @@ def header_detail_join(t):
     FROM (SELECT l_partkey, unnest(generate_series(1, l_quantity)) AS n FROM {LINEITEM}) GROUP BY l_partkey""",
 )
 def cross_join_bounded(t):
-    units = t.lineitem.select("l_partkey", F.explode(F.sequence(F.lit(1), "l_quantity")).alias("n"))
+    units = t.lineitem_spread.select("l_partkey", F.explode(F.sequence(F.lit(1), "l_quantity")).alias("n"))
     return units.groupBy("l_partkey").agg(F.count("*").alias("units"), F.sum("n").alias("unit_no_sum"))
 
 
@@ -205,17 +205,17 @@ def cross_join_bounded(t):
     JOIN {CAL_ORDERS} c ON day(c.full_date) = v.due_day AND c.is_open AND c.year = (SELECT max(year(o_date)) FROM {ORDERS})""",
 )
 def cross_join_calendar(t):
-    """Templates meet the calendar by day of month: an equi-join, not a filtered product."""
+    """Templates meet the calendar by day of month and stores meet it by month: two equi-joins."""
     cal = calendar_for(t.orders, "o_orderdate", EVERY_YEAR)
-    last = t.orders.agg(F.year(F.max("o_date")).alias("last_year"))
+    last_year = t.orders.agg(F.year(F.max("o_date"))).scalar()
     templates = t.spark.createDataFrame([("Rent", 1), ("Staff", 25)], "kind string, due_day int")
     due = (
-        cal.filter("is_open")
-        .join(F.broadcast(last), F.col("year") == F.col("last_year"))
+        cal.filter(F.col("is_open") & (F.col("year") == last_year))
         .join(F.broadcast(templates), F.dayofmonth("full_date") == F.col("due_day"))
-        .agg(F.collect_list(F.struct("date_key", "kind")).alias("days"))  # at most two per month of one year
+        .select("month", "date_key", "kind")
     )
-    return t.supplier.join(F.broadcast(due)).select("s_suppkey", F.inline("days"))
+    stores = t.supplier.select("s_suppkey", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
+    return stores.join(F.broadcast(due), "month").select("s_suppkey", "date_key", "kind")
 
 
 @query(
@@ -299,8 +299,8 @@ def not_exists_anti(t):
 @query("uncorrelated_scalar", f"SELECT o_orderkey FROM {ORDERS} WHERE o_totalprice > (SELECT min(o_totalprice) + (max(o_totalprice) - min(o_totalprice)) * 0.9 FROM {ORDERS})")
 def uncorrelated_scalar(t):
     low, high = F.min("o_totalprice"), F.max("o_totalprice")
-    bar = t.orders.agg((low + (high - low) * F.lit("0.9").cast("decimal(2,1)")).alias("bar"))
-    return t.orders.join(F.broadcast(bar), F.col("o_totalprice") > F.col("bar")).select("o_orderkey")
+    bar = t.orders.agg(low + (high - low) * F.lit("0.9").cast("decimal(2,1)")).scalar()
+    return t.orders.filter(F.col("o_totalprice") > bar).select("o_orderkey")
 
 
 @query("in_subquery", f"SELECT l_row FROM {LINEITEM} WHERE l_partkey IN (SELECT p_partkey FROM {PART} WHERE p_type = 'PROMO')")
@@ -334,9 +334,9 @@ def cte_chain(t):
 )
 def range_exists(t):
     """"Is there a sale day after day 90" compares with one precomputed day, without a range join."""
-    last_sale = calendar_for(t.lineitem, "l_shipdate", EVERY_YEAR).filter("is_sale").agg(F.max("full_date").alias("last_sale"))
-    return t.lineitem.join(F.broadcast(last_sale)).select(
-        "l_row", F.coalesce(F.date_add("l_date", 90) <= F.col("last_sale"), F.lit(False)).alias("can_discount")
+    last_sale = calendar_for(t.lineitem, "l_shipdate", EVERY_YEAR).filter("is_sale").agg(F.max("full_date")).scalar()
+    return t.lineitem.select(
+        "l_row", F.coalesce(F.date_add("l_date", 90) <= last_sale, F.lit(False)).alias("can_discount")
     )
 
 
@@ -366,11 +366,18 @@ def count_filtered(t):
     FROM {LINEITEM} JOIN {PART} p ON p_partkey = l_partkey GROUP BY p_type""",
 )
 def group_basic(t):
-    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type").agg(
-        F.count("*").alias("n"),
-        F.min("l_extendedprice").alias("low"),
-        F.max("l_extendedprice").alias("high"),
-        mean_col("l_extendedprice").alias("average"),
+    """Lines are reduced to one row per part before the lookup: a part in demand is combined map-side."""
+    per_part = t.lineitem.groupBy("l_partkey").agg(
+        F.count("*").alias("c"),
+        F.min("l_extendedprice").alias("lo"),
+        F.max("l_extendedprice").alias("hi"),
+        total("l_extendedprice").alias("amount"),
+    )
+    return per_part.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type").agg(
+        F.sum("c").alias("n"),
+        F.min("lo").alias("low"),
+        F.max("hi").alias("high"),
+        (F.sum("amount").cast("double") / F.sum("c")).alias("average"),
     )
 
 
@@ -440,9 +447,9 @@ def share_of_total_window(t):
 
 @query("share_of_total_subquery", f"SELECT o_orderstatus, count(*) AS n, {share('count(*)', f'(SELECT count(*) FROM {ORDERS})')} AS pct FROM {ORDERS} GROUP BY 1")
 def share_of_total_subquery(t):
-    whole = t.orders.agg(F.count("*").alias("whole"))
     g = t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
-    return g.join(F.broadcast(whole)).select("o_orderstatus", "n", share_col("n", "whole").alias("pct"))
+    whole = g.agg(F.sum("n")).scalar()  # the counts add up to the table: no second scan
+    return g.select("o_orderstatus", "n", share_col("n", whole).alias("pct"))
 
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]

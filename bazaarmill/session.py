@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,9 +24,15 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and continue from there."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to a new table in the checkpoint folder and continue from there.
+
+    The table is columnar: each later use reads only the columns it needs, and a lost executor
+    re-reads its part instead of repeating the plan above.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/frozen/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:
