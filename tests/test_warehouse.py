@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from bazaarmill.plans.verify import REPORTS, report
 from bazaarmill.plans.warehouse import build_warehouse, warehouse_report
 
 
@@ -47,3 +48,25 @@ def test_sold_share_and_open_days(w):
     assert closed == 0
     share = w["items"].agg(F.avg(F.col("is_sold").cast("int"))).first()[0]
     assert 0.5 < share < 1
+
+
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_report_equals_second_engine(w, con, name, tmp_path_factory):
+    import duckdb
+
+    got = report(w, name)
+    files = {t: df.inputFiles() for t, df in w.items() if f"{{{t}}}" in REPORTS[name]}
+    text = REPORTS[name].replace("datediff(DATE '2024-12-31', d.full_date)", "date_diff('day', d.full_date, DATE '2024-12-31')")
+    text = text.format(**{t: f"(SELECT * FROM read_parquet({[x.removeprefix('file://') for x in f]}))" for t, f in files.items()})
+    rel = duckdb.connect().sql(text)
+    assert got.columns == rel.columns
+
+    def norm(rows):
+        return sorted(tuple(round(float(v), 2) if not isinstance(v, (str, bool, type(None))) else str(v) for v in r) for r in rows)
+
+    a, b = norm(got.collect()), norm(rel.fetchall())
+    assert len(a) == len(b) > 0 or name == "total_mismatches"
+    for x, y in zip(a, b):
+        assert all(p == q if isinstance(p, str) else abs(p - q) <= 0.011 for p, q in zip(x, y))
+    if name == "total_mismatches":
+        assert a == b == []

@@ -1,6 +1,6 @@
 """Run registered queries next to their comparison SQL and report differences.
 
-usage: python tools/check.py [--sf 0.01] [--only name,name] [--module domain]
+usage: python tools/check.py [--sf 0.01 | --root folder] [--only name,name] [--module domain]
 """
 
 from __future__ import annotations
@@ -95,8 +95,9 @@ def main() -> int:
     p.add_argument("--sf", default="0.01")
     p.add_argument("--only", default="")
     p.add_argument("--module", default="")
+    p.add_argument("--root", default="", help="folder with the tables, instead of --sf")
     a = p.parse_args()
-    root = f"/root/testdata/sf{a.sf}"
+    root = a.root or f"/root/testdata/sf{a.sf}"
     spark, con = session(), duck(root)
     failed = 0
     for name, q in entry.queries().items():
