@@ -34,10 +34,7 @@ def signed(amount: str = "amount") -> Column:
     return F.when(adds, F.col(amount)).otherwise(-F.col(amount))
 
 
-def posting(
-    df: DataFrame,
-    entity: Sequence[str],
-    day: Column,
+def side(
     process_order: int,
     account: str,
     kind: str,
@@ -45,79 +42,62 @@ def posting(
     description: Column | str,
     source: str | None = None,
     destination: str | None = None,
-    at: Column | None = None,
-    posting_no: Column | None = None,
-) -> DataFrame:
-    """Typed postings from any table; all streams share this schema and can be unioned."""
-    none = F.lit(None).cast("string")
-    return df.select(
-        *entity,
-        day.cast("date").alias("day"),
+    posting_no: Column | int = 0,
+) -> Column:
+    """One posting as a struct, to be opened by ``open_postings``."""
+    return F.struct(
         F.lit(process_order).alias("process_order"),
-        (at if at is not None else F.lit(None)).cast("timestamp_ntz").alias("at"),
-        (posting_no if posting_no is not None else F.lit(0)).cast("bigint").alias("posting_no"),
+        (posting_no if isinstance(posting_no, Column) else F.lit(posting_no)).cast("bigint").alias("posting_no"),
         F.lit(account).alias("account"),
         F.lit(kind).alias("kind"),
         amount.cast(TOTAL).alias("amount"),
-        F.lit(source).alias("source") if source else none.alias("source"),
-        F.lit(destination).alias("destination") if destination else none.alias("destination"),
+        F.lit(source).cast("string").alias("source"),
+        F.lit(destination).cast("string").alias("destination"),
         (F.lit(description) if isinstance(description, str) else description).alias("description"),
     )
 
 
-def union(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
+def transfer(process_order: int, source: str, destination: str, amount: Column, out_text: str, in_text: str, no: int = 0) -> list[Column]:
+    """Both sides of a transfer."""
+    return [
+        side(process_order, account, "Transfer", amount, text, source, destination, no + i)
+        for i, (account, text) in enumerate(((source, out_text), (destination, in_text)))
+    ]
 
 
-def transfer(df, entity, day, process_order, source, destination, amount, out_text, in_text, no: int = 0) -> DataFrame:
-    """Both sides of a transfer, from one pass over the input."""
-    sides = F.array(
-        F.struct(F.lit(source).alias("account"), F.lit(out_text).alias("description"), F.lit(no).alias("n")),
-        F.struct(F.lit(destination).alias("account"), F.lit(in_text).alias("description"), F.lit(no + 1).alias("n")),
-    )
-    return df.withColumn("_amount", amount).withColumn("_side", F.explode(sides)).select(
-        *entity,
-        day.cast("date").alias("day"),
-        F.lit(process_order).alias("process_order"),
-        F.lit(None).cast("timestamp_ntz").alias("at"),
-        F.col("_side.n").cast("bigint").alias("posting_no"),
-        F.col("_side.account").alias("account"),
-        F.lit("Transfer").alias("kind"),
-        F.col("_amount").cast(TOTAL).alias("amount"),
-        F.lit(source).alias("source"),
-        F.lit(destination).alias("destination"),
-        F.col("_side.description").alias("description"),
+def open_postings(df: DataFrame, entity: Sequence[str], day: Column, sides: Sequence[Column]) -> DataFrame:
+    """All postings of each row, opened in one pass over the input; amounts of zero make none.
+
+    The streams share this schema and can be unioned.
+    """
+    opened = df.select(*entity, day.cast("date").alias("day"), F.explode(F.array(*sides)).alias("_p")).filter(F.col("_p.amount") > 0)
+    return opened.select(
+        *entity, "day", "_p.process_order", F.lit(None).cast("timestamp_ntz").alias("at"),
+        *[f"_p.{c}" for c in ("posting_no", "account", "kind", "amount", "source", "destination", "description")],
     )
 
 
+def union(parts: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def opening_balance(entities: DataFrame, entity: Sequence[str], day: Column, amounts: dict[str, str]) -> DataFrame:
     """Seed deposits before the first posting."""
-    return union(
-        [
-            posting(entities, entity, day, 0, a, "Deposit", F.lit(v), "Opening balance", posting_no=F.lit(i))
-            for i, (a, v) in enumerate(amounts.items())
-        ]
-    )
+    sides = [side(0, a, "Deposit", F.lit(v), "Opening balance", posting_no=i) for i, (a, v) in enumerate(amounts.items())]
+    return open_postings(entities, entity, day, sides)
 
 
 def fund_split(sales_by_day: DataFrame, entity: Sequence[str], day: str, amount: str, shares: Sequence[str] = SPLIT) -> DataFrame:
     """Daily revenue into Profits, a share of it on to Operations, and a share of that on to Debts."""
     to_ops = F.lit(shares[0]).cast("decimal(3,2)")
     to_debts = F.lit(shares[1]).cast("decimal(3,2)")
-    d, x = F.col(day), F.col(amount)
-    return union(
-        [
-            posting(sales_by_day, entity, d, 6, "Profits", "Deposit", x, "Daily sales revenue"),
-            transfer(
-                sales_by_day, entity, d, 7, "Profits", "Operations", x * to_ops,
-                "70% of daily sales to Operations", "Receive 70% from Profits",
-            ),
-            transfer(
-                sales_by_day, entity, d, 8, "Operations", "Debts", x * to_ops * to_debts,
-                "65% of Operations inflow to Debts", "Receive 65% from Operations",
-            ),
-        ]
-    )
+    x = F.col(amount)
+    sides = [
+        side(6, "Profits", "Deposit", x, "Daily sales revenue"),
+        *transfer(7, "Profits", "Operations", x * to_ops, "70% of daily sales to Operations", "Receive 70% from Profits"),
+        *transfer(8, "Operations", "Debts", x * to_ops * to_debts, "65% of Operations inflow to Debts", "Receive 65% from Operations"),
+    ]
+    return open_postings(sales_by_day, entity, F.col(day), sides)
 
 
 def build_movements(
@@ -127,18 +107,24 @@ def build_movements(
     expenses_by_day: DataFrame,
     repayments_by_day: DataFrame,
 ) -> DataFrame:
-    """All movement streams of one business. Inputs have ``day`` and amounts, already summed per day."""
+    """All eleven movement streams of one business; each input is read once.
+
+    Inputs have ``day`` and amounts, already summed per day (loans: one row per loan).
+    """
     d, x = F.col("day"), F.col("amount")
     loan_text = F.concat(F.lit("Loan disbursement (Loan ID: "), F.col("loan_id").cast("string"), F.lit(")"))
+    bell_sides = [
+        side(2, "Debts", "Withdrawal", F.col("loan_cost"), "Loan-funded bell purchases"),
+        side(3, "Operations", "Withdrawal", F.col("profit_cost"), "Profit-funded bell purchases"),
+        side(4, "Operations", "Withdrawal", F.col("transport"), "Transport costs"),
+    ]
     return union(
         [
-            posting(loans, [], d, 1, "Debts", "Deposit", x, loan_text, posting_no=F.col("loan_id")),
-            posting(bells_by_day.filter("loan_cost > 0"), [], d, 2, "Debts", "Withdrawal", F.col("loan_cost"), "Loan-funded bell purchases"),
-            posting(bells_by_day.filter("profit_cost > 0"), [], d, 3, "Operations", "Withdrawal", F.col("profit_cost"), "Profit-funded bell purchases"),
-            posting(bells_by_day, [], d, 4, "Operations", "Withdrawal", F.col("transport"), "Transport costs"),
-            posting(expenses_by_day, [], d, 5, "Operations", "Withdrawal", x, "Daily expenses"),
+            open_postings(loans, [], d, [side(1, "Debts", "Deposit", x, loan_text, posting_no=F.col("loan_id"))]),
+            open_postings(bells_by_day, [], d, bell_sides),
+            open_postings(expenses_by_day, [], d, [side(5, "Operations", "Withdrawal", x, "Daily expenses")]),
             fund_split(sales_by_day, [], "day", "amount"),
-            posting(repayments_by_day, [], d, 9, "Debts", "Withdrawal", x, "Loan repayment"),
+            open_postings(repayments_by_day, [], d, [side(9, "Debts", "Withdrawal", x, "Loan repayment")]),
         ]
     )
 
@@ -193,39 +179,12 @@ def deficit_cascade(
         return F.struct(*[balance[a].alias(a) for a in accounts], log.alias("fixes"))
 
     fixes = vectors.select(*entity, F.explode(F.aggregate("_days", start, step)["fixes"]).alias("_fix"))
-    flat = fixes.select(*entity, "_fix.*")
     sides = [
-        F.struct(
-            F.lit(90 + i).alias("process_order"),
-            F.lit(2 * i + j).cast("bigint").alias("posting_no"),
-            F.lit(account).alias("account"),
-            F.col(f"f{i}").cast(TOTAL).alias("amount"),
-            F.lit(payer).alias("source"),
-            F.lit(short).alias("destination"),
-            F.lit(text).alias("description"),
-        )
+        s
         for i, (short, payer) in enumerate(chain)
-        for j, (account, text) in enumerate(
-            ((payer, f"Deficit correction to {short}"), (short, "Receive deficit correction"))
-        )
+        for s in transfer(90 + i, payer, short, F.col(f"_fix.f{i}"), f"Deficit correction to {short}", "Receive deficit correction", 2 * i)
     ]
-    return (
-        flat.withColumn("_side", F.explode(F.array(*sides)))
-        .filter("_side.amount > 0")
-        .select(
-            *entity,
-            "day",
-            "_side.process_order",
-            F.lit(None).cast("timestamp_ntz").alias("at"),
-            "_side.posting_no",
-            "_side.account",
-            F.lit("Transfer").alias("kind"),
-            "_side.amount",
-            "_side.source",
-            "_side.destination",
-            "_side.description",
-        )
-    )
+    return open_postings(fixes, entity, F.col("_fix.day"), sides)
 
 
 def closing_balances(postings: DataFrame, entity: Sequence[str], until: Column | None = None) -> DataFrame:
@@ -241,19 +200,14 @@ def year_end_sweep(postings: DataFrame, entity: Sequence[str], day: Column, keep
         .groupBy(*entity)
         .agg(*[F.coalesce(F.max(F.when(F.col("account") == a, F.col("balance"))), F.lit(0).cast(TOTAL)).alias(a) for a in ACCOUNTS])
     )
-    limit = F.lit(keep).cast(TOTAL)
-    return union(
-        [
-            transfer(
-                wide.filter(F.col("Debts") > 0), entity, day, 95, "Debts", "Profits", F.col("Debts"),
-                "Year-end sweep: Debts to Profits", "Year-end sweep: Receive from Debts",
-            ),
-            transfer(
-                wide.filter(F.col("Operations") > limit), entity, day, 96, "Operations", "Profits", F.col("Operations") - limit,
-                "Year-end sweep: Operations excess to Profits", "Year-end sweep: Receive from Operations",
-            ),
-        ]
-    )
+    excess = F.col("Operations") - F.lit(keep).cast(TOTAL)
+    sides = [
+        *transfer(95, "Debts", "Profits", F.col("Debts"), "Year-end sweep: Debts to Profits", "Year-end sweep: Receive from Debts"),
+        *transfer(
+            96, "Operations", "Profits", excess, "Year-end sweep: Operations excess to Profits", "Year-end sweep: Receive from Operations"
+        ),
+    ]
+    return open_postings(wide, entity, day, sides)
 
 
 def balances_over_time(postings: DataFrame, entity: Sequence[str]) -> DataFrame:
