@@ -3,12 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from ..functions.dates import date_key, day_name, month_name, us_week
-
 MonthDays = tuple[int, int, int]  # month, first day, last day
 
 
@@ -38,50 +35,54 @@ YEAR_2024 = CalendarRules(
 EVERY_YEAR = CalendarRules(closed_windows=((12, 25, 27),), peak_windows=PEAKS, sale_windows=SALES)
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+# The flags are SQL text over the column full_date: one parsed expression each, instead of hundreds of
+# small column objects for every calendar that a query needs.
+
+
+def _any(conditions: list[str]) -> str:
+    return " OR ".join(f"({c})" for c in conditions) or "false"
 
 
-def _in_windows(d: Column, windows: tuple[MonthDays, ...]) -> Column:
-    return _any([(F.month(d) == m) & F.dayofmonth(d).between(a, b) for m, a, b in windows])
+def _in_windows(windows: tuple[MonthDays, ...]) -> str:
+    return _any([f"month(full_date) = {m} AND day(full_date) BETWEEN {a} AND {b}" for m, a, b in windows])
 
 
-def store_open(d: Column, rules: CalendarRules) -> Column:
-    closed = [F.dayofweek(d).isin(*rules.closed_weekdays)] if rules.closed_weekdays else []
+def store_open(rules: CalendarRules) -> str:
+    closed = [f"dayofweek(full_date) = {d}" for d in rules.closed_weekdays]
     if rules.opening:
-        closed.append(d < F.lit(rules.opening).cast("date"))
-    closed += [d.between(F.lit(a).cast("date"), F.lit(b).cast("date")) for a, b in rules.closed_dates]
-    return ~(_any(closed) | _in_windows(d, rules.closed_windows))
+        closed.append(f"full_date < DATE '{rules.opening}'")
+    closed += [f"full_date BETWEEN DATE '{a}' AND DATE '{b}'" for a, b in rules.closed_dates]
+    return f"NOT ({_any([*closed, _in_windows(rules.closed_windows)])})"
 
 
-def peak_period(d: Column, rules: CalendarRules) -> Column:
-    payday = [F.dayofmonth(d) >= rules.payday_from] if rules.payday_from else []
-    return _any(payday) | _in_windows(d, rules.peak_windows)
+def peak_period(rules: CalendarRules) -> str:
+    payday = [f"day(full_date) >= {rules.payday_from}"] if rules.payday_from else []
+    return _any([*payday, _in_windows(rules.peak_windows)])
 
 
-def sale_period(d: Column, rules: CalendarRules) -> Column:
-    return _in_windows(d, rules.sale_windows)
+def sale_period(rules: CalendarRules) -> str:
+    return _in_windows(rules.sale_windows)
 
 
 def with_attributes(days: DataFrame, rules: CalendarRules) -> DataFrame:
     """Fifteen calendar attributes for a table that has one ``full_date`` per row."""
-    d = F.col("full_date")
-    return days.select(
-        date_key(d).alias("date_key"),
-        d,
-        F.year(d).alias("year"),
-        F.month(d).alias("month"),
-        month_name(d).alias("month_name"),
-        F.quarter(d).alias("quarter"),
-        us_week(d).alias("week_of_year"),
-        F.dayofweek(d).alias("day_of_week"),
-        day_name(d).alias("day_name"),
-        F.dayofweek(d).isin(1, 7).alias("is_weekend"),
-        store_open(d, rules).alias("is_open"),
-        peak_period(d, rules).alias("is_peak"),
-        sale_period(d, rules).alias("is_sale"),
-        F.year(d).alias("fiscal_year"),
-        F.month(d).alias("fiscal_month"),
+    return days.selectExpr(
+        "CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INT) AS date_key",
+        "full_date",
+        "year(full_date) AS year",
+        "month(full_date) AS month",
+        "date_format(full_date, 'MMMM') AS month_name",
+        "quarter(full_date) AS quarter",
+        # week 1 holds January 1, weeks start on Sunday
+        "CAST(ceil((dayofyear(full_date) + dayofweek(trunc(full_date, 'YEAR')) - 1) / 7) AS INT) AS week_of_year",
+        "dayofweek(full_date) AS day_of_week",
+        "date_format(full_date, 'EEEE') AS day_name",
+        "dayofweek(full_date) IN (1, 7) AS is_weekend",
+        f"{store_open(rules)} AS is_open",
+        f"{peak_period(rules)} AS is_peak",
+        f"{sale_period(rules)} AS is_sale",
+        "year(full_date) AS fiscal_year",
+        "month(full_date) AS fiscal_month",
     )
 
 
