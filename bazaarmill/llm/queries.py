@@ -1,9 +1,13 @@
 """The queries of this package, and their comparison SQL where SQL can say them."""
 
+from .decontaminate import op4_decontaminate
+from .simhash import op9_simhash
 from .tokenids import op8_token_ids
 
 QUERIES = {
+    "op4_decontaminate": op4_decontaminate,
     "op8_token_ids": op8_token_ids,
+    "op9_simhash": op9_simhash,
 }
 
 SQL: dict[str, str] = {}
