@@ -1,10 +1,12 @@
 """The queries of this package, and their comparison SQL where SQL can say them."""
 
 from .decontaminate import op4_decontaminate
+from .langid import op3_language_id
 from .simhash import op9_simhash
 from .tokenids import op8_token_ids
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
     "op8_token_ids": op8_token_ids,
     "op9_simhash": op9_simhash,
