@@ -1,11 +1,13 @@
 """The queries of this package, and their comparison SQL where SQL can say them."""
 
+from .curriculum import op2_curriculum
 from .decontaminate import op4_decontaminate
 from .langid import op3_language_id
 from .simhash import op9_simhash
 from .tokenids import op8_token_ids
 
 QUERIES = {
+    "op2_curriculum": op2_curriculum,
     "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
     "op8_token_ids": op8_token_ids,

@@ -9,9 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarmill.llm.common import read, stored
+from bazaarmill.llm.curriculum import curriculum_stage
+from bazaarmill.llm.decontaminate import decontaminate_stage
+from bazaarmill.llm.langid import language_stage
+from bazaarmill.llm.simhash import simhash_stage
 from bazaarmill.llm.tokenids import token_stage
 
-STAGES = [("token_ids", token_stage)]
+STAGES = [
+    ("language_id", language_stage),
+    ("simhash_near_dedup", simhash_stage),
+    ("benchmark_decontamination", decontaminate_stage),
+    ("curriculum_mix", curriculum_stage),
+    ("token_ids", token_stage),
+]
 
 #: No SQL: tokenization, fingerprints and trained classifiers have none; tests hold the stages against brute force.
 ORACLE_SQL = None
