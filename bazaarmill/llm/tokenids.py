@@ -19,6 +19,7 @@ that reads back as no rows; other input columns are ignored, whatever their name
 
 from __future__ import annotations
 
+import itertools
 import json
 import uuid
 import zlib
@@ -41,78 +42,100 @@ CACHE = 400_000
 class Pieces:
     """Encodes texts with the tokenizers library, each distinct piece once.
 
-    A text is cut before every space that stands between two other characters. The vocabulary's own splitting never joins
-    across such a place, so the ids of the pieces, one after another, are the ids of the text. Texts with longer runs of
-    white space are encoded whole.
+    A text is cut before every space that stands between two characters other than white space. The vocabulary's own
+    splitting never joins across such a place, so the ids of the pieces, one after another, are the ids of the text. A piece of
+    letters and a tail of punctuation is two words to the splitting, so these go straight to the library's merge model; any
+    other piece goes through the whole library. A text with other white space beside a space is encoded whole.
     """
 
-    def __init__(self, path: str):
-        import re
+    TAIL = ".,;:!?*$%&#()\"-/"
 
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.odd = re.compile(r"\s\s|\A\s|\s\Z")
-        self.plain = re.compile(r"[^\n]*\Z")
-        self.clear()
-        ids = self.encode(["\n"])[0]
-        self.line = ids[0] if len(ids) == 1 else None
-
-    def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        kind = json.loads(self.tok.to_str())
+        # The short cut holds for byte-level vocabularies with the usual splitting into letters, digits and the rest.
+        self.direct = (kind.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and kind.get("normalizer") is None and not kind["pre_tokenizer"].get("add_prefix_space")
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        other = [b for b in range(256) if b not in plain]
+        self.byte = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
+        self.clear([])
+
+    def clear(self, keep: list) -> None:
+        """Starts anew with the pieces ``keep``."""
+        old = [(p, self.flat[self.at[k] : self.at[k + 1]]) for p, k in keep]
+        self.known: dict = {}
+        self.uses = np.zeros(0, np.int64)
         self.at = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint32)
+        self.add([p for p, _ in old], [x.tolist() for _, x in old])
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, new: list[str]) -> None:
-        """Ids of new pieces: many in one text, each on a line, for a new line is always an id of its own."""
-        rows: list[np.ndarray] = []
-        simple = [p for p in new if self.line is not None and self.plain.match(p)]
-        rest = [p for p in new if not (self.line is not None and self.plain.match(p))]
-        for i in range(0, len(simple), 512):
-            part = simple[i : i + 512]
-            ids = np.array(self.encode(["\n".join(part)])[0], np.uint32)
-            cut = np.flatnonzero(ids == self.line)
-            got = np.split(ids, cut)
-            if len(got) != len(part):  # a separator was joined to its surroundings: no batching for these
-                rest += part
-                continue
-            for n, (p, x) in enumerate(zip(part, got)):
-                self.known[p] = len(self.known)
-                rows.append(x[1:] if n else x)
-        for p, ids in zip(rest, self.encode(rest) if rest else []):
-            self.known[p] = len(self.known)
-            rows.append(np.array(ids, np.uint32))
-        sizes = np.fromiter((len(x) for x in rows), np.int64, len(rows))
+    def add(self, pieces: list, rows: list[list[int]]) -> None:
+        n = len(self.known)
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        self.flat = np.concatenate([self.flat, *rows])
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(sizes.sum()))])
+        self.uses = np.concatenate([self.uses, np.zeros(len(rows), np.int64)])
+
+    def word(self, mapped: str) -> list[int]:
+        return [t.id for t in self.tok.model.tokenize(mapped)]
+
+    def learn(self, new: list) -> None:
+        """Ids of new pieces: a string stands for a space and itself, a tuple for a text's first piece."""
+        pieces, rows, rest, tails, merge = [], [], [], {}, self.tok.model.tokenize
+        for p in new:
+            if self.direct and type(p) is str:
+                base = p.rstrip(self.TAIL)
+                if base.isalpha():
+                    mapped = "\u0120" + (base if base.isascii() else base.encode().decode("latin-1").translate(self.byte))
+                    ids = [t.id for t in merge(mapped)]
+                    if len(base) < len(p):
+                        tail = p[len(base) :]
+                        if tail not in tails:
+                            tails[tail] = self.word(tail)
+                        ids = ids + tails[tail]
+                    pieces.append(p)
+                    rows.append(ids)
+                    continue
+            rest.append(p)
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
+            texts = [p[0] if type(p) is tuple else " " + p for p in part]
+            pieces += part
+            rows += [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        self.add(pieces, rows)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > CACHE:
-            self.clear()
-        whole = {i for i, t in enumerate(texts) if self.odd.search(t)}
-        pieces: list[list[str]] = []
-        for i, t in enumerate(texts):
-            if i in whole:
-                pieces.append([])
-                continue
-            head, *tail = t.split(" ")
-            pieces.append([head, *[" " + x for x in tail]])
-        fresh = {p for x in pieces for p in x} - self.known.keys()
-        if fresh:
-            self.learn(sorted(fresh))
-        get = self.known.__getitem__
-        out: list[np.ndarray] = []
-        for x in pieces:
-            k = np.fromiter(map(get, x), np.int64, len(x))
-            n = self.at[k + 1] - self.at[k]
-            first = np.cumsum(n) - n
-            out.append(self.flat[np.arange(n.sum()) + np.repeat(self.at[k] - first, n)])
-        for i, ids in zip(sorted(whole), self.encode([texts[i] for i in sorted(whole)]) if whole else []):
-            out[i] = np.array(ids, np.uint32)
+            often = self.uses > 1
+            self.clear([(p, k) for p, k in self.known.items() if often[k]][: CACHE // 2])
+        cut = [t.split(" ") for t in texts]
+        for x in cut:
+            x[0] = (x[0],)
+        all_new = set(itertools.chain.from_iterable(cut)).difference(self.known)
+        # white space beside a space: an empty piece, or one that begins or ends with white space
+        odd = {p for p in all_new if type(p) is str and (not p or p[0].isspace() or p[-1].isspace())}
+        odd |= {p for p in all_new if type(p) is tuple and p[0] and p[0][-1].isspace()}
+        whole = [i for i, x in enumerate(cut) if odd and not odd.isdisjoint(x)]
+        for i in whole:
+            cut[i] = []
+        if odd:
+            all_new = set(itertools.chain.from_iterable(cut)).difference(self.known)
+        if all_new:
+            self.learn(list(all_new))
+        sizes = [len(x) for x in cut]
+        k = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(cut)), np.int64, sum(sizes))
+        self.uses += np.bincount(k, minlength=len(self.uses))
+        n = self.at[k + 1] - self.at[k]
+        end = np.cumsum(n)
+        flat = self.flat[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(self.at[k] - (end - n), n)]
+        edge = np.concatenate([[0], end])[np.cumsum([0, *sizes])]
+        out = [flat[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist())]
+        for i, e in zip(whole, self.tok.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False) if whole else []):
+            out[i] = np.array(e.ids, np.uint32)
         return out
 
 
@@ -185,11 +208,12 @@ def pack(ids: np.ndarray, size_of: np.ndarray, code_of: np.ndarray) -> tuple[byt
     word, bit = start >> 6, start & 63
     room = 64 - bit - n  # bits left in the word after the code; negative if it goes on in the next
     code = code_of[ids]
-    here = np.where(room >= 0, code << np.maximum(room, 0).astype(np.uint64), code >> np.maximum(-room, 0).astype(np.uint64))
+    over = np.flatnonzero(room < 0)  # at most one code crosses into each word
+    here = code << (room & 63).astype(np.uint64)
+    here[over] = code[over] >> (-room[over]).astype(np.uint64)
     first = np.flatnonzero(np.diff(word, prepend=-1))
     if len(first):
         out[word[first]] |= np.bitwise_or.reduceat(here, first)
-    over = np.flatnonzero(room < 0)  # at most one code crosses into each word
     out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
     return out.astype(">u8").tobytes()[: total // 8 + 1 + 8], start
 
@@ -220,8 +244,8 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
     def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(1, np.int64)
         for b in batches:
-            for x in b["ids"]:
-                c = np.bincount(np.frombuffer(x, "<u4"))
+            for lo in range(0, len(b), 1000):
+                c = np.bincount(np.frombuffer(b"".join(b["ids"].iloc[lo : lo + 1000]), "<u4"))
                 if len(c) > len(total):
                     total = np.pad(total, (0, len(c) - len(total)))
                 total[: len(c)] += c
