@@ -2,11 +2,13 @@
 
 from .curriculum import op2_curriculum
 from .decontaminate import op4_decontaminate
+from .katz import op1_katz
 from .langid import op3_language_id
 from .simhash import op9_simhash
 from .tokenids import op8_token_ids
 
 QUERIES = {
+    "op1_katz": op1_katz,
     "op2_curriculum": op2_curriculum,
     "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
