@@ -1,5 +1,6 @@
 """The queries of this package, and their comparison SQL where SQL can say them."""
 
+from .collisions import op5_embedding_dedup
 from .curriculum import op2_curriculum
 from .decontaminate import op4_decontaminate
 from .katz import op1_katz
@@ -8,6 +9,7 @@ from .simhash import op9_simhash
 from .tokenids import op8_token_ids
 
 QUERIES = {
+    "op5_embedding_dedup": op5_embedding_dedup,
     "op1_katz": op1_katz,
     "op2_curriculum": op2_curriculum,
     "op3_language_id": op3_language_id,
