@@ -7,8 +7,10 @@ from .katz import op1_katz
 from .langid import op3_language_id
 from .simhash import op9_simhash
 from .tokenids import op8_token_ids
+from .wrappers import op7_main_text
 
 QUERIES = {
+    "op7_main_text": op7_main_text,
     "op5_embedding_dedup": op5_embedding_dedup,
     "op1_katz": op1_katz,
     "op2_curriculum": op2_curriculum,
