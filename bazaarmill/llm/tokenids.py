@@ -34,11 +34,23 @@ from .common import read, stored
 
 BLOCK_IDS = 1 << 20
 EVERY = 256
-MAX_BITS = 20
+MAX_BITS = 18
 #: Distinct pieces whose ids a worker keeps; beyond it the memory starts anew.
 CACHE = 400_000
 
 
+class Numbers(dict):
+    """Numbers keys in the order in which they are first looked up, and lists the new ones."""
+
+    def __init__(self) -> None:
+        self.new: list = []
+
+    def __missing__(self, key) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+
 class Pieces:
     """Encodes texts with the tokenizers library, each distinct piece once.
 
@@ -66,74 +78,76 @@ class Pieces:
     def clear(self, keep: list) -> None:
         """Starts anew with the pieces ``keep``."""
         old = [(p, self.flat[self.at[k] : self.at[k + 1]]) for p, k in keep]
-        self.known: dict = {}
+        self.known = Numbers()
         self.uses = np.zeros(0, np.int64)
+        self.odd = np.zeros(0, bool)
         self.at = np.zeros(1, np.int64)
         self.flat = np.zeros(0, np.uint32)
-        self.add([p for p, _ in old], [x.tolist() for _, x in old])
+        self.known.update(zip((p for p, _ in old), range(len(old))))
+        self.add([x.tolist() for _, x in old], [False] * len(old))
 
-    def add(self, pieces: list, rows: list[list[int]]) -> None:
-        n = len(self.known)
-        self.known.update(zip(pieces, range(n, n + len(pieces))))
+    def add(self, rows: list[list[int]], odd: list[bool]) -> None:
         sizes = np.fromiter(map(len, rows), np.int64, len(rows))
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
         self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(sizes.sum()))])
         self.uses = np.concatenate([self.uses, np.zeros(len(rows), np.int64)])
+        self.odd = np.concatenate([self.odd, np.array(odd, bool)])
 
     def word(self, mapped: str) -> list[int]:
         return [t.id for t in self.tok.model.tokenize(mapped)]
 
     def learn(self, new: list) -> None:
-        """Ids of new pieces: a string stands for a space and itself, a tuple for a text's first piece."""
-        pieces, rows, rest, tails, merge = [], [], [], {}, self.tok.model.tokenize
-        for p in new:
-            if self.direct and type(p) is str:
+        """Ids of new pieces, in their order: a string stands for a space and itself, a tuple for a text's first piece."""
+        rows: list = [None] * len(new)
+        odd = [False] * len(new)
+        rest, tails, merge = [], {}, self.tok.model.tokenize
+        for n, p in enumerate(new):
+            if type(p) is str:
                 base = p.rstrip(self.TAIL)
-                if base.isalpha():
-                    mapped = "\u0120" + (base if base.isascii() else base.encode().decode("latin-1").translate(self.byte))
-                    ids = [t.id for t in merge(mapped)]
+                if self.direct and base.isalpha():
+                    ids = [t.id for t in merge("\u0120" + (base if base.isascii() else base.encode().decode("latin-1").translate(self.byte)))]
                     if len(base) < len(p):
                         tail = p[len(base) :]
                         if tail not in tails:
                             tails[tail] = self.word(tail)
-                        ids = ids + tails[tail]
-                    pieces.append(p)
-                    rows.append(ids)
+                        ids += tails[tail]
+                    rows[n] = ids
                     continue
-            rest.append(p)
+                odd[n] = not p or p[0].isspace() or p[-1].isspace()
+            else:
+                odd[n] = p[0][-1:].isspace()
+            if odd[n]:
+                rows[n] = []
+            else:
+                rest.append(n)
         for i in range(0, len(rest), 4096):
             part = rest[i : i + 4096]
-            texts = [p[0] if type(p) is tuple else " " + p for p in part]
-            pieces += part
-            rows += [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-        self.add(pieces, rows)
+            texts = [new[n][0] if type(new[n]) is tuple else " " + new[n] for n in part]
+            for n, e in zip(part, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
+                rows[n] = e.ids
+        self.add(rows, odd)
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > CACHE:
-            often = self.uses > 1
+            often = (self.uses > 1) & ~self.odd
             self.clear([(p, k) for p, k in self.known.items() if often[k]][: CACHE // 2])
         cut = [t.split(" ") for t in texts]
         for x in cut:
             x[0] = (x[0],)
-        all_new = set(itertools.chain.from_iterable(cut)).difference(self.known)
-        # white space beside a space: an empty piece, or one that begins or ends with white space
-        odd = {p for p in all_new if type(p) is str and (not p or p[0].isspace() or p[-1].isspace())}
-        odd |= {p for p in all_new if type(p) is tuple and p[0] and p[0][-1].isspace()}
-        whole = [i for i, x in enumerate(cut) if odd and not odd.isdisjoint(x)]
-        for i in whole:
-            cut[i] = []
-        if odd:
-            all_new = set(itertools.chain.from_iterable(cut)).difference(self.known)
-        if all_new:
-            self.learn(list(all_new))
-        sizes = [len(x) for x in cut]
-        k = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(cut)), np.int64, sum(sizes))
+        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
+        first = np.concatenate([[0], np.cumsum(sizes)])
+        k = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(cut)), np.int64, int(first[-1]))
+        if self.known.new:
+            self.learn(self.known.new)
+            self.known.new = []
         self.uses += np.bincount(k, minlength=len(self.uses))
         n = self.at[k + 1] - self.at[k]
         end = np.cumsum(n)
         flat = self.flat[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(self.at[k] - (end - n), n)]
-        edge = np.concatenate([[0], end])[np.cumsum([0, *sizes])]
+        edge = np.concatenate([[0], end])[first]
         out = [flat[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist())]
+        # white space beside a space: those texts go whole
+        whole = np.flatnonzero(np.logical_or.reduceat(self.odd[k], first[:-1])).tolist() if len(cut) else []
         for i, e in zip(whole, self.tok.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False) if whole else []):
             out[i] = np.array(e.ids, np.uint32)
         return out
@@ -146,17 +160,23 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int]
     """
     cuts = np.array(bounds, np.int64)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         enc = Pieces(tokenizer)
-        end = np.array([end_id], np.uint32)
+        end = np.array([end_id], "<u4")
         for b in batches:
-            for i in range(0, len(b), 500):
-                c = b.iloc[i : i + 500]
-                ids = enc.ids([t or "" for t in c["text"]])
-                part = np.searchsorted(cuts, c["doc_id"].fillna(-(1 << 63)).astype("int64"), side="left")
-                yield pd.DataFrame({"doc_id": c["doc_id"], "part": part, "ids": [np.concatenate([x, end]).astype("<u4").tobytes() for x in ids]})
+            for i in range(0, b.num_rows, 500):
+                c = b.slice(i, 500)
+                ids = enc.ids([t or "" for t in c.column("text").to_pylist()])
+                where = c.column("doc_id").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+                part = np.searchsorted(cuts, where, side="left").astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [c.column("doc_id"), pa.array(part), pa.array([np.concatenate([x, end]).astype("<u4").tobytes() for x in ids], pa.binary())],
+                    names=["doc_id", "part", "ids"],
+                )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, part int, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, part int, ids binary")
 
 
 def code_lengths(counts: dict[int, int], max_bits: int) -> dict[int, int]:
@@ -198,16 +218,20 @@ def canonical(lengths: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.array(order, np.int64), size, np.array(codes, np.uint64)
 
 
-def pack(ids: np.ndarray, size_of: np.ndarray, code_of: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Coded bits, most significant first, and the bit offset of every id."""
-    n = size_of[ids]
+def pack(ids: np.ndarray, table: np.ndarray) -> tuple[bytes, np.ndarray, int]:
+    """Coded bits, most significant first, the bit offset of every id, and the number of bits.
+
+    ``table`` has code * 64 + length of each id.
+    """
+    found = table[ids]
+    n = (found & np.uint64(63)).astype(np.int64)
     end = np.cumsum(n)
     start = end - n
     total = int(end[-1]) if len(end) else 0
     out = np.zeros(total // 64 + 2, np.uint64)
     word, bit = start >> 6, start & 63
     room = 64 - bit - n  # bits left in the word after the code; negative if it goes on in the next
-    code = code_of[ids]
+    code = found >> np.uint64(6)
     over = np.flatnonzero(room < 0)  # at most one code crosses into each word
     here = code << (room & 63).astype(np.uint64)
     here[over] = code[over] >> (-room[over]).astype(np.uint64)
@@ -215,21 +239,21 @@ def pack(ids: np.ndarray, size_of: np.ndarray, code_of: np.ndarray) -> tuple[byt
     if len(first):
         out[word[first]] |= np.bitwise_or.reduceat(here, first)
     out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-    return out.astype(">u8").tobytes()[: total // 8 + 1 + 8], start
+    return out.astype(">u8").tobytes()[: (total + 7) // 8], start, total
 
 
-def unpack(bits: bytes, count: int, marks: np.ndarray, every: int, max_bits: int, table_id: np.ndarray, table_size: np.ndarray) -> np.ndarray:
-    """The ids of a block: all checkpoints advance together, one id each a step."""
+def unpack(bits: bytes, count: int, marks: np.ndarray, every: int, max_bits: int, table: np.ndarray) -> np.ndarray:
+    """The ids of a block: all checkpoints advance together, one id each a step. ``table`` has id * 64 + length."""
     raw = np.frombuffer(bits + b"\0" * (16 - len(bits) % 8), ">u8").astype(np.uint64)
     out = np.empty((every, len(marks)), np.uint32)
     at = marks.astype(np.int64).copy()
     mask, last = np.uint64((1 << max_bits) - 1), len(raw) - 2
     for k in range(min(every, count)):
         w, b = np.minimum(at >> 6, last), (at & 63).astype(np.uint64)
-        window = (raw[w] << b) | np.where(b > 0, raw[w + 1] >> ((np.uint64(64) - b) & np.uint64(63)), np.uint64(0))
-        key = (window >> np.uint64(64 - max_bits)) & mask
-        out[k] = table_id[key]
-        at += table_size[key]
+        window = (raw[w] << b) | ((raw[w + 1] >> np.uint64(1)) >> (np.uint64(63) - b))
+        found = table[(window >> np.uint64(64 - max_bits)) & mask]
+        out[k] = found >> 6
+        at += found & 63
     return out.T.reshape(-1)[:count]
 
 
@@ -256,19 +280,18 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
     lengths = code_lengths(counts, max_bits)
     spark.createDataFrame([(i, n) for i, n in sorted(lengths.items())], "id long, bits int").write.parquet(f"{folder}/code")
     order, size, code = canonical(lengths)
-    size_of, code_of = np.zeros(int(order.max(initial=0)) + 1, np.int64), np.zeros(int(order.max(initial=0)) + 1, np.uint64)
-    size_of[order], code_of[order] = size, code
-    shared = spark.sparkContext.broadcast((size_of, code_of))
+    table = np.zeros(int(order.max(initial=0)) + 1, np.uint64)
+    table[order] = (code << np.uint64(6)) | size.astype(np.uint64)
+    shared = spark.sparkContext.broadcast(table)  # bounded by the vocabulary
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        size_of, code_of = shared.value
+        table = shared.value
         for b in batches:
             rows = []
             for x in b["ids"]:
                 ids = np.frombuffer(x, "<u4")
-                bits, start = pack(ids, size_of, code_of)
-                total = int(start[-1] + size_of[ids[-1]]) if len(ids) else 0
-                rows.append((len(ids), total, bits[: (total + 7) // 8], start[::every].astype("<i8").tobytes(), zlib.crc32(x)))
+                bits, start, total = pack(ids, table)
+                rows.append((len(ids), total, bits, start[::every].astype("<i8").tobytes(), zlib.crc32(x)))
             d = pd.DataFrame(rows, columns=["n", "n_bits", "bits", "marks", "crc"])
             d.insert(0, "part", b["part"].to_numpy())
             d.insert(0, "doc_id", b["doc_id"].array)
@@ -324,15 +347,15 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order, size, code = canonical(shared.value)
-        table_id, table_size = np.zeros(1 << max_bits, np.uint32), np.ones(1 << max_bits, np.int64)
+        table = np.ones(1 << max_bits, np.int64)
         for i, n, c in zip(order.tolist(), size.tolist(), code.tolist()):
             a = c << (max_bits - n)
-            table_id[a : a + (1 << (max_bits - n))], table_size[a : a + (1 << (max_bits - n))] = i, n
+            table[a : a + (1 << (max_bits - n))] = i * 64 + n
         for b in batches:
             for part, first, docs, nulls, sizes, marks, bits in zip(*(b[c] for c in ("part", "first", "docs", "nulls", "sizes", "marks", "bits"))):
                 docs, sizes, marks = np.frombuffer(docs, "<i8"), np.frombuffer(sizes, "<i8"), np.frombuffer(marks, "<i8")
                 lanes = -(-sizes // every)  # checkpoints of each document; its last one may be short
-                flat = unpack(bits, every * len(marks), marks, every, max_bits, table_id, table_size)
+                flat = unpack(bits, every * len(marks), marks, every, max_bits, table)
                 begin = (np.cumsum(lanes) - lanes) * every
                 at = starts[part] + first + np.cumsum(sizes) - sizes
                 yield pd.DataFrame({
