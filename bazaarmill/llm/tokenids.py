@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import itertools
 import json
+import sys
+import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,8 +37,8 @@ from .common import read, stored
 BLOCK_IDS = 1 << 20
 EVERY = 256
 MAX_BITS = 18
-#: Distinct pieces whose ids a worker keeps; beyond it the memory starts anew.
-CACHE = 400_000
+#: Distinct pieces whose ids a worker keeps; beyond it only those that came more than once stay.
+CACHE = 300_000
 
 
 class Numbers(dict):
@@ -163,7 +165,11 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int]
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        enc = Pieces(tokenizer)
+        # A worker process runs one task after another; what it has learned serves the next one too.
+        held = sys.modules.setdefault("_token_pieces", types.ModuleType("_token_pieces")).__dict__
+        if tokenizer not in held:
+            held[tokenizer] = Pieces(tokenizer)
+        enc = held[tokenizer]
         end = np.array([end_id], "<u4")
         for b in batches:
             for i in range(0, b.num_rows, 500):
