@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-HEX_DIGITS = 8  # 32 bits of the digest
+HEX_DIGITS = 15  # 60 bits of the digest: far above any modulus, and a whole number in 64 bits
 
 
 def draw(salt: str, modulus: int | Column, *keys: Column | str) -> Column:

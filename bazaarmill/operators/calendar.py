@@ -86,43 +86,46 @@ def with_attributes(days: DataFrame, rules: CalendarRules) -> DataFrame:
     )
 
 
-def _spine(bounds: DataFrame, max_days: int) -> DataFrame:
-    """One row per day. A wrong date far away would make the table huge, so the span is checked."""
-    span = F.datediff("last_day", "first_day")
-    last = F.when(span < max_days, F.col("last_day")).otherwise(
-        F.raise_error(F.concat(F.lit("calendar span in days exceeds the limit: "), span.cast("string"))).cast("date")
-    )
-    return bounds.select(F.explode(F.sequence("first_day", last)).alias("full_date"))
+def _spine(bounds: DataFrame) -> DataFrame:
+    """One row per day, opened year by year.
+
+    Dates have years 1 to 9999, so a calendar never has more than 3.7 million rows, whatever the data.
+    """
+    years = bounds.select("first_day", "last_day", F.explode(F.sequence(F.year("first_day"), F.year("last_day"))).alias("_year"))
+    start, end = (F.make_date("_year", F.lit(m), F.lit(d)) for m, d in ((1, 1), (12, 31)))
+    return years.select(F.explode(F.sequence(F.greatest(start, "first_day"), F.least(end, "last_day"))).alias("full_date"))
 
 
 def calendar(
-    spark: SparkSession, start: str, end: str, rules: CalendarRules = YEAR_2024, max_days: int = 73_050
+    spark: SparkSession, start: str, end: str, rules: CalendarRules = YEAR_2024
 ) -> DataFrame:
     bounds = spark.range(1).select(
         F.lit(start).cast("date").alias("first_day"), F.lit(end).cast("date").alias("last_day")
     )
-    return with_attributes(_spine(bounds, max_days), rules)
+    return with_attributes(_spine(bounds), rules)
 
 
-def calendar_for(df: DataFrame, date_col: str, rules: CalendarRules, max_days: int = 73_050) -> DataFrame:
+def calendar_for(df: DataFrame, date_col: str, rules: CalendarRules) -> DataFrame:
     """Calendar of all full years that the data touches."""
     bounds = df.agg(
         F.trunc(F.min(date_col), "YEAR").alias("first_day"),
         F.date_sub(F.add_months(F.trunc(F.max(date_col), "YEAR"), 12), 1).alias("last_day"),
     )
-    return with_attributes(_spine(bounds, max_days), rules)
+    return with_attributes(_spine(bounds), rules)
 
 
 def next_days(cal: DataFrame, flag: str, name: str) -> DataFrame:
     """For each day, the first day on or after it where the flag holds (null when there is none).
 
-    The window covers the calendar only, whose length is limited when it is made.
+    Found inside each year; a day with none left in its year gets the first one of a later year. Only the
+    years, at most 9999, meet in one window.
     """
-    ahead = W.orderBy("full_date").rowsBetween(W.currentRow, W.unboundedFollowing)
-    return cal.select(
-        F.col("full_date").alias("_from"),
-        F.min(F.when(F.col(flag), F.col("full_date"))).over(ahead).alias(name),
-    )
+    hit, year = F.when(F.col(flag), F.col("full_date")), F.year("full_date")
+    within = W.partitionBy(year).orderBy("full_date").rowsBetween(W.currentRow, W.unboundedFollowing)
+    later = W.orderBy("_year").rowsBetween(1, W.unboundedFollowing)
+    firsts = cal.groupBy(year.alias("_year")).agg(F.min(hit).alias("_first")).select("_year", F.min("_first").over(later).alias("_later"))
+    days = cal.select(F.col("full_date").alias("_from"), year.alias("_in"), F.min(hit).over(within).alias("_here"))
+    return days.join(firsts, F.col("_in") == F.col("_year")).select("_from", F.coalesce("_here", "_later").alias(name))
 
 
 def next_date(
@@ -135,6 +138,8 @@ def next_date(
 ) -> DataFrame:
     """Forward as-of join as a plain equi-join: the lookup is precomputed per calendar day.
 
+    The lookup is broadcast: two dates for each day of a calendar, so at most 3.7 million rows (60 MB).
+
     ``upper`` drops matches after that date; rows keep a null then.
     """
     found = df.join(F.broadcast(next_days(cal, flag, name)), F.col(date_col) == F.col("_from"), "left").drop("_from")

@@ -202,9 +202,9 @@ def year_end_sweep(postings: DataFrame, entity: Sequence[str], day: Column, keep
     )
     excess = F.col("Operations") - F.lit(keep).cast(TOTAL)
     sides = [
-        *transfer(95, "Debts", "Profits", F.col("Debts"), "Year-end sweep: Debts to Profits", "Year-end sweep: Receive from Debts"),
+        *transfer(95, "Debts", "Profits", F.col("Debts"), "Year-end sweep: Debts → Profits", "Year-end sweep: Receive from Debts"),
         *transfer(
-            96, "Operations", "Profits", excess, "Year-end sweep: Operations excess to Profits", "Year-end sweep: Receive from Operations"
+            96, "Operations", "Profits", excess, "Year-end sweep: Operations excess → Profits", "Year-end sweep: Receive from Operations"
         ),
     ]
     return open_postings(wide, entity, day, sides)

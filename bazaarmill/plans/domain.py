@@ -625,9 +625,9 @@ def deficit_cascade_query(t):
 @query(
     "year_end_sweep",
     f"""WITH RECURSIVE {CASCADE}, fin AS (SELECT user_id, sum(CASE WHEN account = 'Debts' THEN sign * c ELSE 0 END) AS d, sum(CASE WHEN account = 'Operations' THEN sign * c ELSE 0 END) AS o FROM led GROUP BY 1)
-    SELECT user_id, 'Debts' AS account, {money('d')} AS amount, 'Year-end sweep: Debts to Profits' AS description FROM fin WHERE d > 0
+    SELECT user_id, 'Debts' AS account, {money('d')} AS amount, 'Year-end sweep: Debts → Profits' AS description FROM fin WHERE d > 0
     UNION ALL SELECT user_id, 'Profits', {money('d')}, 'Year-end sweep: Receive from Debts' FROM fin WHERE d > 0
-    UNION ALL SELECT user_id, 'Operations', {money('o - 50000')}, 'Year-end sweep: Operations excess to Profits' FROM fin WHERE o > 50000
+    UNION ALL SELECT user_id, 'Operations', {money('o - 50000')}, 'Year-end sweep: Operations excess → Profits' FROM fin WHERE o > 50000
     UNION ALL SELECT user_id, 'Profits', {money('o - 50000')}, 'Year-end sweep: Receive from Operations' FROM fin WHERE o > 50000""",
 )
 def year_end_sweep_query(t):

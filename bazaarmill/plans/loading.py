@@ -12,7 +12,7 @@ from ..operators.keys import link_children, with_surrogate_key
 from ..registry import query
 from ..schemas import literal_dimension
 from ..sources import sinks
-from ..sources.tables import NAMES
+from ..sources.tables import ALL_NAMES
 from .sqltext import CAL_EVENTS, CUSTOMER, LINEITEM, ORDERS, PART, dbl, draw, key_of, txt
 
 
@@ -175,7 +175,7 @@ def full_refresh_overwrite(t):
     path = sinks.run_folder(t.spark, "refresh")
     cols = t.orders.select("o_orderkey", "o_totalprice")
     sinks.full_refresh(cols.filter("o_totalprice > 250000"), path)
-    sinks.full_refresh(cols, path)
+    sinks.full_refresh(cols, path, cols.schema)
     return t.spark.read.parquet(path)
 
 
@@ -216,24 +216,28 @@ def partitioned_fact(t):
 
 @query(
     "table_counts",
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in NAMES) + " ORDER BY table_name",
+    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ALL_NAMES) + " ORDER BY table_name",
 )
 def table_counts(t):
     counts = None
-    for name in NAMES:
+    for name in ALL_NAMES:
         one = t.raw(name).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         counts = one if counts is None else counts.unionByName(one)
     return counts.orderBy("table_name")
 
 
 # Allowed row counts, as (table, lowest, highest).
-RANGES = [("region", 5, 5), ("nation", 25, 25), ("customer", 100, None), ("orders", 1000, None), ("lineitem", 5000, None)]
+RANGES = [
+    ("region", 5, 5), ("nation", 25, 25), ("customer", 100, None), ("supplier", 1, None), ("part", 100, None), ("orders", 1000, None),
+    ("lineitem", 5000, None), ("events", 1000, None), ("documents", 200, None), ("embeddings", 500, None), ("pages", 50, None),
+    ("benchmark", 40, None), ("labels", 50, None), ("conversations", 50, None),
+]
 
 
 @query(
     "expected_range_check",
     f"""WITH r(table_name, low, high) AS (VALUES {', '.join(f"('{n}', CAST({a} AS BIGINT), CAST({'NULL' if b is None else b} AS BIGINT))" for n, a, b in RANGES)}),
-    c AS ({' UNION ALL '.join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in NAMES)})
+    c AS ({' UNION ALL '.join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ALL_NAMES)})
     SELECT r.table_name, row_count, CASE WHEN row_count >= low AND row_count <= coalesce(high, row_count) THEN 'in range' ELSE 'OUT OF RANGE' END AS status
     FROM r JOIN c ON c.table_name = r.table_name""",
 )

@@ -24,14 +24,15 @@ def pct_by(g: DataFrame, name: str = "pct", n: str = "n") -> DataFrame:
 
 # Calendar
 
+# The labels of the calendar report.
 METRICS = {
-    "Total days": "true",
-    "Store open days": "is_open",
-    "Store closed days": "NOT is_open",
-    "Sundays (closed)": "day_name = 'Sunday'",
-    "Peak period days": "is_peak",
-    "Sales period days": "is_sale",
-    "Weekend days (Sat + Sun)": "is_weekend",
+    "Total Days in 2024": "true",
+    "Store Open Days": "is_open",
+    "Store Closed Days": "NOT is_open",
+    "Sundays (Closed)": "day_name = 'Sunday'",
+    "Peak Period Days": "is_peak",
+    "Sales Period Days": "is_sale",
+    "Weekend Days (Sat + Sun)": "is_weekend",
 }
 
 
@@ -218,12 +219,12 @@ FIRST = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     JOIN {PART} p ON p_partkey = l_partkey JOIN {SUPPLIER} s ON s_suppkey = l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 25""",
 )
 def bell_detail(t):
-    """The first 25 rows are taken before the labels are joined, so only 25 rows look them up."""
-    top = t.lineitem.orderBy(*FIRST).limit(25)
+    """The first 25 rows that have both labels: a row without one does not count."""
     return (
-        top.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+        t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .orderBy(*FIRST)
+        .limit(25)
         .select(
             "l_row", date_key("l_date").alias("date_key"), "p_type", "p_brand", tier().alias("tier"), "s_name", "l_quantity",
             F.col("l_extendedprice").alias("cost"),
@@ -266,8 +267,7 @@ def discounted_items_report(t):
 )
 def item_sample(t):
     off = F.concat((F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%"))
-    top = t.lineitem.orderBy(*FIRST).limit(20)
-    return top.join(t.part, F.col("l_partkey") == F.col("p_partkey")).orderBy(*FIRST).select(
+    return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).orderBy(*FIRST).limit(20).select(
         "l_row",
         "p_type",
         F.col("l_extendedprice").alias("price"),
@@ -376,8 +376,7 @@ def monthly_sales(t):
 )
 def transaction_sample(t):
     cal = calendar_for(t.orders, "o_orderdate", EVERY_YEAR).select("full_date", "day_name")
-    top = t.orders.orderBy("o_orderkey").limit(10)
-    return top.join(cal, F.col("o_date") == F.col("full_date")).orderBy("o_orderkey").select(
+    return t.orders.join(cal, F.col("o_date") == F.col("full_date")).orderBy("o_orderkey").limit(10).select(
         "o_orderkey",
         date_key("o_date").alias("date_key"),
         "day_name",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Window as W, functions as F
 
 from ..functions.dates import date_key, date_of, day_name, month_name, us_week
@@ -273,27 +275,37 @@ def correlated_scalar(t):
     return t.customer.join(best, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", "best")
 
 
+TAIL = Decimal(10**19)  # above any 64-bit key
+
+
+def ranked(rank, key: str):
+    """A rank and, for ties, a key of 64 bits as one decimal number, which hash aggregates can hold."""
+    return (rank.cast("decimal(18,0)") * F.lit(TAIL) + F.col(key).cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
 @query(
     "top1_per_key_pick",
     f"""SELECT p_type, p_partkey FROM (SELECT p_type, p_partkey, row_number() OVER (PARTITION BY p_type
     ORDER BY {draw('pick', 1000003, 'p_partkey')}, p_partkey) AS r FROM {PART}) WHERE r = 1""",
 )
 def top1_per_key_pick(t):
-    """Smallest draw per key as an aggregate: partial results are combined before the shuffle."""
-    best = F.min_by("p_partkey", F.struct(draw_col("pick", 1000003, "p_partkey"), F.col("p_partkey")))
-    return t.part.groupBy("p_type").agg(best.alias("p_partkey"))
+    """Smallest draw per key as one number with the key in its last digits: a hash aggregate with partial results."""
+    best = F.min(ranked(draw_col("pick", 1000003, "p_partkey"), "p_partkey")).alias("best")
+    return t.part.groupBy("p_type").agg(best).select("p_type", (F.col("best") % F.lit(TAIL)).cast("bigint").alias("p_partkey"))
 
 
 @query("exists_semi", f"SELECT o_orderkey FROM {ORDERS} o WHERE EXISTS (SELECT 1 FROM {LINEITEM} l WHERE l.l_orderkey = o.o_orderkey AND l_quantity = 50)")
 def exists_semi(t):
     return t.orders.join(
-        t.lineitem.filter("l_quantity = 50"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi"
+        t.lineitem.filter("l_quantity = 50").select("l_orderkey").distinct(), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi"
     ).select("o_orderkey")
 
 
 @query("not_exists_anti", f"SELECT o_orderkey FROM {ORDERS} o WHERE NOT EXISTS (SELECT 1 FROM {LINEITEM} l WHERE l.l_orderkey = o.o_orderkey)")
 def not_exists_anti(t):
-    return t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
+    # keys are made distinct first: a key with many lines is one row when it is moved
+    keys = t.lineitem.select("l_orderkey").distinct()
+    return t.orders.join(keys, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti").select("o_orderkey")
 
 
 @query("uncorrelated_scalar", f"SELECT o_orderkey FROM {ORDERS} WHERE o_totalprice > (SELECT min(o_totalprice) + (max(o_totalprice) - min(o_totalprice)) * 0.9 FROM {ORDERS})")
@@ -517,9 +529,9 @@ def row_number_partition(t):
 
 @query("last_row_per_group", f"SELECT user_id, event_id, {dbl('value')} AS value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM {EVENTS}) WHERE r = 1")
 def last_row_per_group(t):
-    """Latest row per key as an aggregate with map-side combine; no sort of the whole key."""
-    last = F.max_by(F.struct("event_id", "value"), F.struct("ts", "event_id"))
-    return t.events.groupBy("user_id").agg(last.alias("r")).select("user_id", "r.event_id", "r.value")
+    """Latest row per key as a hash aggregate with map-side combine: time and id are one number."""
+    when = ranked(F.unix_micros(F.col("ts").cast("timestamp")), "event_id")
+    return t.events.groupBy("user_id").agg(F.max_by("event_id", when).alias("event_id"), F.max_by("value", when).alias("value"))
 
 
 @query(
@@ -529,8 +541,10 @@ def last_row_per_group(t):
 )
 def pick_one_per_group(t):
     days = t.orders.filter(F.dayofmonth("o_date").between(5, 10))
-    pick = F.min_by("o_date", F.struct(draw_col("month-day", 1000003, "o_date"), F.col("o_date")))
-    return days.groupBy((F.year("o_date") * 100 + F.month("o_date")).alias("year_month")).agg(pick.alias("day"))
+    # draw and day as one number; days are counted from the first date that there is
+    number = draw_col("month-day", 1000003, "o_date") * 10_000_000 + F.datediff("o_date", F.lit("0001-01-01").cast("date"))
+    picked = days.groupBy((F.year("o_date") * 100 + F.month("o_date")).alias("year_month")).agg(F.min(number).alias("best"))
+    return picked.select("year_month", F.date_add(F.lit("0001-01-01").cast("date"), (F.col("best") % 10_000_000).cast("int")).alias("day"))
 
 
 SIGNED = "CASE WHEN event_type IN ('purchase', 'signup') THEN value ELSE -value END"
@@ -586,9 +600,10 @@ def top_n(t):
     return t.lineitem.select("l_row", "l_extendedprice").orderBy(F.desc("l_extendedprice"), "l_row").limit(20)
 
 
-@query("top_n_random_sample", f"SELECT o_orderkey FROM {ORDERS} ORDER BY {draw('sample', 1000000007, 'o_orderkey')}, o_orderkey LIMIT 30")
+@query("top_n_random_sample", f"SELECT o_orderkey FROM {ORDERS} ORDER BY md5(o_orderkey || ':sample'), o_orderkey LIMIT 30")
 def top_n_random_sample(t):
-    return t.orders.select("o_orderkey").orderBy(draw_col("sample", 1000000007, "o_orderkey"), "o_orderkey").limit(30)
+    """Ordered by the whole digest, so no two keys tie."""
+    return t.orders.select("o_orderkey").orderBy(F.md5(F.concat_ws(":", F.col("o_orderkey").cast("string"), F.lit("sample"))), "o_orderkey").limit(30)
 
 
 # Set operations

@@ -24,7 +24,7 @@ DAYS = "ARRAY['Sunday','Monday','Tuesday','Wednesday','Thursday','Friday','Satur
 
 def draw(salt: str, modulus: int | str, *keys: str) -> str:
     text = " || ':' || ".join(f"CAST({k} AS VARCHAR)" for k in keys)
-    return f"(CAST('0x' || substr(md5({text} || ':{salt}'), 1, 8) AS BIGINT) % ({modulus}))"
+    return f"(CAST('0x' || substr(md5({text} || ':{salt}'), 1, 15) AS BIGINT) % ({modulus}))"
 
 
 def key_of(d: str) -> str:
@@ -59,6 +59,7 @@ def _between(d: str, windows) -> str:
     return " OR ".join(f"(month({d}) = {m} AND day({d}) BETWEEN {a} AND {b})" for m, a, b in windows)
 
 
+# Peak seasons and sale weeks, the same as in operators/calendar.py.
 PEAKS = ((12, 1, 31), (4, 15, 28), (7, 15, 31), (8, 1, 31), (9, 1, 10), (1, 8, 20), (9, 5, 20))
 SALES = ((2, 5, 25), (6, 3, 23), (11, 4, 24))
 CLOSED_2024 = """dayofweek(d) = 0 OR d < DATE '2024-01-04' OR d = DATE '2024-03-29' OR d = DATE '2024-04-01'

@@ -26,6 +26,9 @@ def day(key: str) -> str:
     return f"concat(substr({k}, 1, 4), '-', substr({k}, 5, 2), '-', substr({k}, 7, 2))"
 
 
+#: Effect of a posting on its own account.
+SIGNED = "CASE WHEN m.movement_type = 'Deposit' OR (m.movement_type = 'Transfer' AND m.account_type = m.destination_account) THEN m.amount ELSE -m.amount END"
+
 REPORTS = {
     "table_counts": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {{{t}}}" for t in TABLES) + " ORDER BY table_name",
     # Calendar
@@ -59,14 +62,14 @@ REPORTS = {
     "size_tier_profile": """SELECT s.bell_size_name, count(*) AS bells, min(total_items) AS min_items, max(total_items) AS max_items, avg(total_items) AS avg_items,
         avg(sellable_percentage) * 100 AS avg_sellable_pct FROM {bells} b JOIN {bell_sizes} s ON s.bell_size_id = b.bell_size_id GROUP BY s.bell_size_name""",
     "bell_detail": f"""SELECT b.bell_id, {day('b.purchase_date_key')} AS purchased, c.category_name, v.subcategory_name, s.bell_size_name, b.total_items, b.sellable_items, b.bell_cost,
-        b.cost_per_item FROM (SELECT * FROM {{bells}} ORDER BY bell_id LIMIT 25) b JOIN {{categories}} c ON c.category_id = b.category_id
-        JOIN {{subcategories}} v ON v.subcategory_id = b.subcategory_id JOIN {{bell_sizes}} s ON s.bell_size_id = b.bell_size_id ORDER BY b.bell_id""",
+        b.cost_per_item FROM {{bells}} b JOIN {{categories}} c ON c.category_id = b.category_id
+        JOIN {{subcategories}} v ON v.subcategory_id = b.subcategory_id JOIN {{bell_sizes}} s ON s.bell_size_id = b.bell_size_id ORDER BY b.bell_id LIMIT 25""",
     # Items
     "item_status_mix": f"SELECT CASE WHEN is_sold THEN 'Items Sold' ELSE 'Items Unsold' END AS status, count(*) AS n, {share()} AS pct FROM {{items}} GROUP BY is_sold",
     "grade_mix": f"SELECT g.grade_name, count(*) AS n, {share()} AS pct FROM {{items}} i JOIN {{item_grades}} g ON g.grade_id = i.grade_id GROUP BY g.grade_name",
     "discounted_items": "SELECT count(*) AS n FROM {items} WHERE is_in_discount",
     "item_sample": """SELECT i.item_id, i.bell_id, c.category_name, g.grade_name, i.selling_price, CASE WHEN i.is_sold THEN 'Sold' ELSE 'Unsold' END AS status, i.days_in_inventory, i.discount_percent
-        FROM (SELECT * FROM {items} ORDER BY item_id LIMIT 20) i JOIN {categories} c ON c.category_id = i.category_id JOIN {item_grades} g ON g.grade_id = i.grade_id ORDER BY i.item_id""",
+        FROM {items} i JOIN {categories} c ON c.category_id = i.category_id JOIN {item_grades} g ON g.grade_id = i.grade_id ORDER BY i.item_id LIMIT 20""",
     "category_sell_through": """SELECT c.category_name, count(*) AS items, count(*) FILTER (WHERE is_sold) AS sold, CAST(count(*) FILTER (WHERE is_sold) * 100.0 / count(*) AS DECIMAL(5,2)) AS sell_through_pct
         FROM {items} i JOIN {categories} c ON c.category_id = i.category_id GROUP BY c.category_name ORDER BY items DESC""",
     "inventory_aging": """SELECT c.category_name, count(*) AS items, avg(coalesce(i.days_in_inventory, datediff(DATE '2024-12-31', d.full_date))) AS avg_age, count(*) FILTER (WHERE is_sold) AS sold,
@@ -90,8 +93,8 @@ REPORTS = {
         FROM {items} WHERE sale_transaction_id IS NOT NULL GROUP BY sale_transaction_id) i ON i.sale_transaction_id = s.sale_transaction_id
         WHERE abs(s.total_amount - coalesce(i.amount, 0)) > 0.01 OR s.total_items <> coalesce(i.n, 0)""",
     "transaction_sample": """SELECT s.sale_transaction_id, d.day_name, s.total_items, s.subtotal_amount, s.discount_amount, s.total_amount, s.payment_method,
-        CASE WHEN s.is_recurring_customer THEN 'Yes' ELSE 'No' END AS recurring FROM (SELECT * FROM {sales} ORDER BY sale_transaction_id LIMIT 10) s
-        JOIN {dates} d ON d.date_key = s.sale_date_key ORDER BY s.sale_transaction_id""",
+        CASE WHEN s.is_recurring_customer THEN 'Yes' ELSE 'No' END AS recurring FROM {sales} s
+        JOIN {dates} d ON d.date_key = s.sale_date_key ORDER BY s.sale_transaction_id LIMIT 10""",
     "first_transaction_items": """SELECT i.item_id, c.category_name, v.subcategory_name, i.final_sale_price FROM {items} i JOIN {categories} c ON c.category_id = i.category_id
         JOIN {subcategories} v ON v.subcategory_id = i.subcategory_id WHERE i.sale_transaction_id = (SELECT min(sale_transaction_id) FROM {sales})""",
     # Expenses
@@ -105,10 +108,9 @@ REPORTS = {
         GROUP BY account_type, movement_date_key) e WHERE b < 0) AS day_ends FROM {cash_movements} WHERE running_balance < 0""",
     "final_balances": """SELECT m.account_type, m.running_balance FROM {cash_movements} m JOIN (SELECT account_type, max(cash_movement_id) AS last_id FROM {cash_movements}
         GROUP BY account_type) x ON x.last_id = m.cash_movement_id ORDER BY m.account_type""",
-    "monthly_cash_flow": """SELECT d.month, m.account_type, sum(CASE WHEN m.movement_type <> 'Withdrawal' AND (m.destination_account IS NULL OR m.account_type = m.destination_account) THEN m.amount ELSE 0 END) AS inflows,
-        sum(CASE WHEN m.movement_type <> 'Deposit' AND (m.source_account IS NULL OR m.account_type = m.source_account) THEN m.amount ELSE 0 END) AS outflows
-        FROM {cash_movements} m JOIN {dates} d ON d.date_key = m.movement_date_key WHERE m.movement_type <> 'Transfer' OR m.description NOT ILIKE '%deficit%'
-        GROUP BY d.month, m.account_type ORDER BY d.month, m.account_type""",
+    "monthly_cash_flow": f"""SELECT year, month, account_type, sum(greatest(signed, 0)) AS inflows, sum(greatest(-signed, 0)) AS outflows
+        FROM (SELECT d.year, d.month, m.account_type, {SIGNED} AS signed FROM {{cash_movements}} m JOIN {{dates}} d ON d.date_key = m.movement_date_key
+        WHERE NOT (m.movement_type = 'Transfer' AND coalesce(m.description, '') ILIKE '%deficit%')) s GROUP BY year, month, account_type ORDER BY year, month, account_type""",
     "deficit_count": "SELECT count(*) AS correction_rows FROM {cash_movements} WHERE description ILIKE '%deficit correction%'",
     "cash_flow_by_account": """SELECT account_type, sum(CASE WHEN movement_type = 'Deposit' THEN amount ELSE 0 END) AS inflows, sum(CASE WHEN movement_type = 'Withdrawal' THEN amount ELSE 0 END) AS outflows
         FROM {cash_movements} GROUP BY account_type""",

@@ -16,13 +16,14 @@ from ..functions.draws import draw, number_between, weighted_bucket
 from ..functions.money import AMOUNT, UNIT
 from ..operators import baskets, expenses, ledger, loans, pricing
 from ..operators.calendar import YEAR_2024, calendar, next_date
-from ..operators.constraints import all_rules
+from ..operators.constraints import all_rules, row_rules
 from ..operators.keys import with_surrogate_key
 from ..operators.ordered import running
 from ..operators.picks import preferred_pick
 from ..operators.quality import dq_report
-from ..schemas import literal_dimension, schema
-from ..sources.sinks import conform, run_folder
+from ..schemas import TABLES as DECLARED, literal_dimension, schema
+from ..session import freeze
+from ..sources.sinks import checked, run_folder
 from ..sources.tables import Tables
 
 FIRST_DAY, LAST_DAY, LAST_DUE = "2024-01-04", "2024-12-31", "2025-12-31"
@@ -97,7 +98,9 @@ def build_bells(t: Tables, loan_rows: DataFrame, dims: dict[str, DataFrame]) ->
         (number_between("sellable", 65, 90, "bell_id").cast("decimal(5,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(5,2)").alias("sellable_percentage"),
     )
     funded = bell.withColumn("loan_id", F.when(~F.col("is_profit_funded"), draw("loan", loan_count, "bell_id") + 1))
-    dated = funded.join(loan_rows.select("loan_id", "loan_date"), "loan_id", "left")
+    # only purchases with a loan look one up; the others would all meet at the missing key
+    by_loan = funded.filter(~F.col("is_profit_funded")).join(loan_rows.select("loan_id", "loan_date"), "loan_id", "left")
+    dated = by_loan.unionByName(funded.filter("is_profit_funded").withColumn("loan_date", F.lit(None).cast("date")))
     trip_day = F.date_add(_day("2024-01-05"), draw("trip", 355, "bell_id").cast("int"))
     asked = dated.withColumn(
         "_asked",
@@ -247,12 +250,15 @@ def build_cash_movements(t: Tables, w: dict[str, DataFrame]) -> DataFrame:
         by_day(w["bells"], "purchase_date_key", loan_cost=paid_by_loan, profit_cost=paid_by_profit, transport=F.col("transport_cost")),
         by_day(w["expenses"], "expense_date_key", amount=F.col("amount")),
         by_day(w["loan_repayments"], "repayment_date_key", amount=F.col("actual_amount")),
-    ).filter(F.col("day").between(_day(FIRST_DAY), _day(LAST_DAY)))
+    ).filter(F.col("day") >= _day(FIRST_DAY))
     seed = ledger.opening_balance(t.spark.range(1).select(), [], _day(FIRST_DAY), OPENING)
-    base = seed.unionByName(movements)
-    fixed = base.unionByName(ledger.deficit_cascade(base, []))
+    base = freeze(seed.unionByName(movements))
+    # The year is corrected and swept; what is due later, such as instalments, follows on the swept accounts.
+    year = base.filter(F.col("day") <= _day(LAST_DAY))
+    fixed = freeze(year.unionByName(ledger.deficit_cascade(year, [])))
     swept = fixed.unionByName(ledger.year_end_sweep(fixed, [], _day(LAST_DAY)))
-    balanced = running(swept, ["account"], ledger.ORDER, {"running_balance": ledger.signed()})
+    later = freeze(swept.unionByName(base.filter(F.col("day") > _day(LAST_DAY))))
+    balanced = running(later.unionByName(ledger.deficit_cascade(later, [])), ["account"], ledger.ORDER, {"running_balance": ledger.signed()})
     return with_surrogate_key(balanced, [*ledger.ORDER, "account"], "cash_movement_id").select(
         "cash_movement_id",
         date_key("day").alias("movement_date_key"),
@@ -275,9 +281,9 @@ def build_warehouse(t: Tables, path: str | None = None) -> dict[str, DataFrame]:
         return t.spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
     def load(name: str, df: DataFrame) -> DataFrame:
-        return store(name, conform(df, schema(name)))
+        return store(name, checked(df, schema(name) if name in DECLARED else None, row_rules(name)))
 
-    w = {n: store(n, df) for n, df in dimensions(t).items()}
+    w = {n: load(n, df) for n, df in dimensions(t).items()}
     loan_rows = store("stage_loans", build_loans(t, w["dates"]))
     payments = store("stage_repayments", build_repayments(loan_rows))
     w["loan_repayments"] = load("loan_repayments", payments)

@@ -1,15 +1,17 @@
 """Writers: typed appends, full refresh, incremental append and partitioned facts.
 
-All write parquet. Rows are checked and cast to the declared schema before they are written; a value
-that does not fit its type fails the job (ANSI casts) instead of ending up as a null.
+All write parquet. Each takes a declared schema and row rules: rows are cast and checked before they are written, and a
+value that does not fit its type (ANSI casts), a missing required one or a broken rule fails the job.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.quality import Check, NotNull, require_valid
 from ..session import checkpoint_folder
 
 
@@ -29,38 +31,47 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*out)
 
 
-def append_fact(df: DataFrame, path: str, schema: T.StructType) -> None:
-    conform(df, schema).write.mode("append").parquet(path)
+def checked(df: DataFrame, schema: T.StructType | None = None, rules: Sequence[Check | NotNull] = ()) -> DataFrame:
+    """The rows in the declared types; the job fails on a missing required value or on a row that breaks a rule."""
+    typed = conform(df, schema) if schema is not None else df
+    return require_valid(typed, list(rules)) if rules else typed
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def append_fact(df: DataFrame, path: str, schema: T.StructType, rules: Sequence[Check | NotNull] = ()) -> None:
+    checked(df, schema, rules).write.mode("append").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "append") -> None:
+def full_refresh(df: DataFrame, path: str, schema: T.StructType | None = None, rules: Sequence[Check | NotNull] = ()) -> None:
+    checked(df, schema, rules).write.mode("overwrite").parquet(path)
+
+
+def write_partitioned(
+    df: DataFrame, path: str, by: str, mode: str = "append", schema: T.StructType | None = None, rules: Sequence[Check | NotNull] = ()
+) -> None:
     """One folder per value of ``by``.
 
     The rebalance hint groups rows by folder, so a task does not open every folder, and lets the
     runtime split a folder that holds a large part of the table.
     """
-    df.hint("rebalance", F.col(by)).write.mode(mode).partitionBy(by).parquet(path)
+    checked(df, schema, rules).hint("rebalance", F.col(by)).write.mode(mode).partitionBy(by).parquet(path)
 
 
-def incremental_append(new: DataFrame, path: str, key: str, watermark: str, lookback_days: int = 0) -> None:
-    """Append rows that are newer than the target, or on its edge and not yet present.
+def incremental_append(
+    new: DataFrame, path: str, key: str, watermark: str, schema: T.StructType | None = None, rules: Sequence[Check | NotNull] = ()
+) -> None:
+    """Append the rows whose key the target does not have, each key once; late rows are appended too.
 
-    Only the target rows inside the look-back range take part in the anti-join; the filter on the
-    watermark column is a literal, so it is pushed down to both scans.
+    Target rows from the batch's lowest watermark on take part in the anti-join; that bound is a literal, so it is pushed
+    down to the scan. A batch without old rows so reads only the edge of the target. A row keeps its key and its
+    watermark, so an earlier target row cannot be the same one. Rows without a watermark are compared with all such rows.
     """
     spark = new.sparkSession
     target = spark.read.parquet(path)
-    edge = target.agg(F.date_sub(F.max(watermark), lookback_days).alias("edge")).first()["edge"]
-    if edge is None:
-        fresh = new
-    else:
-        recent = target.filter(F.col(watermark) >= F.lit(edge)).select(key)
-        fresh = new.filter(F.col(watermark) >= F.lit(edge)).join(recent, key, "left_anti")
-    fresh.write.mode("append").parquet(path)
+    low = new.agg(F.min(watermark).alias("low")).first()["low"]
+    touched = F.col(watermark).isNull() if low is None else F.col(watermark).isNull() | (F.col(watermark) >= F.lit(low))
+    present = target.filter(touched).select(key).distinct()
+    fresh = new.join(present, key, "left_anti").dropDuplicates([key])
+    checked(fresh, schema, rules).write.mode("append").parquet(path)
 
 
 def archive_before(df: DataFrame, by: str, first_kept: object) -> tuple[DataFrame, DataFrame]:

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.money import amount
 
 NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+#: With the tables that no retail query uses, but that counts cover.
+ALL_NAMES = (*NAMES, "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 class Tables:

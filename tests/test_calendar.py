@@ -3,7 +3,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from bazaarmill.operators.calendar import YEAR_2024, calendar, calendar_for, next_date, numbered_open_days
@@ -44,9 +43,12 @@ def test_weeks_start_on_sunday(spark):
     assert c.loc[20241231, "week_of_year"] == 53
 
 
-def test_span_is_limited(spark):
-    with pytest.raises(PySparkException, match="span"):
-        calendar(spark, "0001-01-01", "2024-12-31").count()
+def test_dates_centuries_apart(spark):
+    df = spark.createDataFrame([(dt.date(1700, 1, 1),), (dt.date(2024, 2, 1),)], "d date")
+    cal = calendar_for(df, "d", YEAR_2024)
+    assert cal.count() == (dt.date(2024, 12, 31) - dt.date(1700, 1, 1)).days + 1
+    got = [r.next_date for r in next_date(df, "d", cal.withColumn("is_open", F.col("full_date") == F.lit("2024-02-05").cast("date")), name="next_date").orderBy("d").collect()]
+    assert got == [dt.date(2024, 2, 5)] * 2
 
 
 def test_calendar_covers_full_years_of_the_data(spark):

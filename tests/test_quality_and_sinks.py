@@ -78,10 +78,28 @@ def test_incremental_append(spark, tmp_path):
     sinks.incremental_append(df, path, "id", "day")
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(10))
     late = spark.createDataFrame([(99, dt.date(2024, 1, 4))], "id int, day date")
-    sinks.incremental_append(late, path, "id", "day", lookback_days=3)
+    sinks.incremental_append(late.union(late), path, "id", "day")
+    sinks.incremental_append(late, path, "id", "day")
     assert spark.read.parquet(path).filter("id = 99").count() == 1
 
 
+def test_every_writer_refuses_a_bad_row(spark, tmp_path):
+    rule = [Check("amount", "sales", "amount > 0")]
+    good = spark.createDataFrame([(1, dt.date(2024, 1, 1), 5)], "id int, day date, amount int")
+    bad = spark.createDataFrame([(2, dt.date(2024, 1, 2), -5)], "id int, day date, amount int")
+    path = str(tmp_path / "fact")
+    sinks.full_refresh(good, path, good.schema, rule)
+    for write in (
+        lambda: sinks.full_refresh(bad, str(tmp_path / "other"), bad.schema, rule),
+        lambda: sinks.append_fact(bad, path, bad.schema, rule),
+        lambda: sinks.write_partitioned(bad, str(tmp_path / "parts"), "day", "append", bad.schema, rule),
+        lambda: sinks.incremental_append(bad, path, "id", "day", bad.schema, rule),
+    ):
+        with pytest.raises(PySparkException, match="rule violated: amount"):
+            write()
+    assert [r.id for r in spark.read.parquet(path).collect()] == [1]
+
+
 def test_partitioned_write_prunes(spark, tmp_path):
     path = str(tmp_path / "parts")
     sinks.write_partitioned(spark.range(100).withColumn("y", F.col("id") % 4), path, "y")

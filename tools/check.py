@@ -16,8 +16,9 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
-from bazaarmill.sources.tables import NAMES  # noqa: E402
+import bazaarmill.plans  # noqa: E402,F401
+from bazaarmill.registry import QUERIES  # noqa: E402
+from bazaarmill.sources.tables import ALL_NAMES  # noqa: E402
 
 
 def session(cores: int = 8):
@@ -37,7 +38,7 @@ def session(cores: int = 8):
 
 def duck(root: str):
     con = duckdb.connect()
-    for t in NAMES:
+    for t in ALL_NAMES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{root}/{t}.parquet'")
     return con
 
@@ -100,7 +101,7 @@ def main() -> int:
     root = a.root or f"/root/testdata/sf{a.sf}"
     spark, con = session(), duck(root)
     failed = 0
-    for name, q in entry.queries().items():
+    for name, q in QUERIES.items():
         if a.only and name not in a.only.split(","):
             continue
         if a.module and not q.build.__module__.endswith(a.module):
