@@ -12,7 +12,7 @@ of their groups. No ranks are renamed and nothing is sorted twice.
 To sort only what can repeat, each string is represented by the smallest hash among its ``ANCHOR``-byte substrings: equal
 strings have equal anchors. Neighbouring strings with one anchor make a run. Documents come in blocks; a block asks, by range of
 the hash, which of its anchors occur elsewhere too (as packed keys, not as rows). The bytes of runs with a repeated anchor, equal ones of
-a block as one, meet at their anchor, where the suffixes of all its different runs are sorted together; equal neighbours in
+a block as one, meet at their anchor and are cut to the part that can repeat. There the suffixes of all different runs are sorted together; equal neighbours in
 that order are one string, and all places but the first are reported to their block. A run whose anchor occurs more than
 ``HOT`` times, or in a run of more than ``LONG`` strings anywhere, is cut into its single strings, each with its own hash, so that a phrase that stands in a third of all documents does
 not gather their surroundings in one task.
@@ -235,6 +235,40 @@ def same_strings(contexts: list[bytes], spans: list[int], length: int) -> tuple[
     return owner, offset, np.cumsum(new) - 1
 
 
+def trimmed(groups: pd.DataFrame, length: int) -> Iterator[tuple[bool, list[list]]]:
+    """Per anchor its different runs, each with its (block, document, id, start) places, cut to what can repeat.
+
+    A string whose hash no other place here has is unique, for equal strings share their anchor. A run is cut to the part
+    from its first to its last string that is not; runs without one are left out.
+    """
+    runs: dict[tuple[int, bytes], list[np.ndarray]] = {}
+    own_twice = set(groups.loc[groups["twice"], "anchor"])
+    for anchor, block, data, where in zip(groups["anchor"], groups["block"], groups["bytes"], groups["places"]):
+        w = np.frombuffer(where, "<i8").reshape(-1, 3)
+        runs.setdefault((anchor, data), []).append(np.column_stack([np.full(len(w), block), w]))
+    sizes = np.array([len(data) for _, data in runs], np.int64)
+    spans = sizes - length + 1
+    edge = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(sizes)), spans)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(spans) - spans, spans)
+    h = substring_hashes(b"".join(data for _, data in runs), length)[edge[owner] + offset]
+    copies = np.array([sum(map(len, p)) for p in runs.values()])
+    _, back = np.unique(h, return_inverse=True)
+    again = np.flatnonzero(np.bincount(back, copies[owner])[back] > 1)
+    first = np.full(len(sizes), -1)
+    last = np.full(len(sizes), -1)
+    first[owner[again][::-1]] = offset[again][::-1]
+    last[owner[again]] = offset[again]
+    out: dict[int, dict[bytes, list[np.ndarray]]] = {}
+    for k, ((anchor, data), places) in enumerate(runs.items()):
+        if first[k] >= 0:
+            moved = np.concatenate(places)
+            moved[:, 3] += first[k]
+            out.setdefault(anchor, {}).setdefault(data[first[k] : last[k] + length], []).append(moved)
+    for anchor, own in out.items():
+        yield anchor in own_twice, [[data, np.concatenate(p)] for data, p in own.items()]
+
+
 def repeated_places(groups: pd.DataFrame, length: int) -> Iterator[pd.DataFrame]:
     """Starts of strings that occur earlier too, for whole groups of runs with one anchor; rows (block, places)."""
     found: dict[int, list[np.ndarray]] = {}
@@ -270,13 +304,7 @@ def repeated_places(groups: pd.DataFrame, length: int) -> Iterator[pd.DataFrame]
                 report(place[row[order][a]], start[order][a], start[order][z])
         batch, held = [], 0
 
-    for _, g in groups.groupby("anchor", sort=False):
-        runs: dict[bytes, list[np.ndarray]] = {}
-        twice = bool(g["twice"].any())
-        for block, data, where in zip(g["block"], g["bytes"], g["places"]):
-            w = np.frombuffer(where, "<i8").reshape(-1, 3)
-            runs.setdefault(data, []).append(np.column_stack([np.full(len(w), block), w[:, 0], w[:, 1], w[:, 2]]))
-        own = [[data, np.concatenate(p)] for data, p in runs.items()]
+    for twice, own in trimmed(groups, length):
         if len(own) == 1 and not twice:  # one run of different strings: their order is known
             data, place = own[0]
             rank = np.lexsort((place[:, 3], place[:, 2]))
