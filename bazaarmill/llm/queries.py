@@ -5,12 +5,14 @@ from .curriculum import op2_curriculum
 from .decontaminate import op4_decontaminate
 from .katz import op1_katz
 from .langid import op3_language_id
+from .pseudonyms import op6_pseudonyms
 from .simhash import op9_simhash
 from .suffixes import op10_suffix_dedup
 from .tokenids import op8_token_ids
 from .wrappers import op7_main_text
 
 QUERIES = {
+    "op6_pseudonyms": op6_pseudonyms,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op7_main_text": op7_main_text,
     "op5_embedding_dedup": op5_embedding_dedup,
