@@ -150,12 +150,11 @@ def social(text: str, key: bytes, back: bool) -> str | None:
 
 
 def network(text: str, key: bytes, back: bool) -> str | None:
-    """Addresses of hosts: private, local and multicast ones are not personal and stay."""
+    """Addresses of four parts; those that name no host but every machine's own, or all, stay."""
     part = [int(p) for p in text.split(".")]
 
     def fits(p: list[int]) -> bool:
-        a, b = p[:2]
-        return 1 <= a <= 223 and a not in (10, 127) and (a, b) not in ((192, 168), (169, 254)) and not (a == 172 and 16 <= b <= 31)
+        return p not in ([0, 0, 0, 0], [127, 0, 0, 1], [255, 255, 255, 255])
 
     if any(p > 255 for p in part) or any(len(p) > 1 and p[0] == "0" for p in text.split(".")):
         return None
