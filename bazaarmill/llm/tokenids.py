@@ -38,7 +38,7 @@ BLOCK_IDS = 1 << 20
 EVERY = 256
 MAX_BITS = 18
 #: Distinct pieces whose ids a worker keeps; beyond it only those that came more than once stay.
-CACHE = 300_000
+CACHE = 600_000
 
 
 class Numbers(dict):
