@@ -21,8 +21,6 @@ from __future__ import annotations
 
 import itertools
 import json
-import sys
-import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,7 +36,7 @@ BLOCK_IDS = 1 << 20
 EVERY = 256
 MAX_BITS = 18
 #: Distinct pieces whose ids a worker keeps; beyond it only those that came more than once stay.
-CACHE = 600_000
+CACHE = 300_000
 
 
 class Numbers(dict):
@@ -165,11 +163,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int]
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        # A worker process runs one task after another; what it has learned serves the next one too.
-        held = sys.modules.setdefault("_token_pieces", types.ModuleType("_token_pieces")).__dict__
-        if tokenizer not in held:
-            held[tokenizer] = Pieces(tokenizer)
-        enc = held[tokenizer]
+        enc = Pieces(tokenizer)
         end = np.array([end_id], "<u4")
         for b in batches:
             for i in range(0, b.num_rows, 500):
@@ -271,18 +265,20 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
     """
     spark = tokens.sparkSession
 
-    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tally(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         total = np.zeros(1, np.int64)
         for b in batches:
-            for lo in range(0, len(b), 1000):
-                c = np.bincount(np.frombuffer(b"".join(b["ids"].iloc[lo : lo + 1000]), "<u4"))
+            for lo in range(0, b.num_rows, 500):
+                c = np.bincount(np.frombuffer(b"".join(b.slice(lo, 500).column("ids").to_pylist()), "<u4"))
                 if len(c) > len(total):
                     total = np.pad(total, (0, len(c) - len(total)))
                 total[: len(c)] += c
         used = np.flatnonzero(total)
-        yield pd.DataFrame({"id": used, "n": total[used]})
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
-    counts = {r["id"]: r["n"] for r in tokens.select("ids").mapInPandas(tally, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator()}
+    counts = {r["id"]: r["n"] for r in tokens.select("ids").mapInArrow(tally, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toLocalIterator()}
     lengths = code_lengths(counts, max_bits)
     spark.createDataFrame([(i, n) for i, n in sorted(lengths.items())], "id long, bits int").write.parquet(f"{folder}/code")
     order, size, code = canonical(lengths)
@@ -290,20 +286,25 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
     table[order] = (code << np.uint64(6)) | size.astype(np.uint64)
     shared = spark.sparkContext.broadcast(table)  # bounded by the vocabulary
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
         table = shared.value
         for b in batches:
-            rows = []
-            for x in b["ids"]:
-                ids = np.frombuffer(x, "<u4")
-                bits, start, total = pack(ids, table)
-                rows.append((len(ids), total, bits, start[::every].astype("<i8").tobytes(), zlib.crc32(x)))
-            d = pd.DataFrame(rows, columns=["n", "n_bits", "bits", "marks", "crc"])
-            d.insert(0, "part", b["part"].to_numpy())
-            d.insert(0, "doc_id", b["doc_id"].array)
-            yield d
-
-    coded = tokens.mapInPandas(encode, "doc_id long, part int, n long, n_bits long, bits binary, marks binary, crc long")
+            for lo in range(0, b.num_rows, 500):
+                part = b.slice(lo, 500)
+                rows = []
+                for x in part.column("ids").to_pylist():
+                    ids = np.frombuffer(x, "<u4")
+                    bits, start, total = pack(ids, table)
+                    rows.append((len(ids), total, bits, start[::every].astype("<i8").tobytes(), zlib.crc32(x)))
+                n, n_bits, bits, marks, crc = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("part"), pa.array(n, pa.int64()), pa.array(n_bits, pa.int64()), pa.array(bits, pa.binary()), pa.array(marks, pa.binary()), pa.array(crc, pa.int64())],
+                    names=["doc_id", "part", "n", "n_bits", "bits", "marks", "crc"],
+                )
+
+    coded = tokens.mapInArrow(encode, "doc_id long, part int, n long, n_bits long, bits binary, marks binary, crc long")
     ordered = coded.repartition(F.col("part")).sortWithinPartitions("part", "doc_id", "crc", "bits")
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
