@@ -1,20 +1,25 @@
 """Main text of web pages by union-free wrappers, inferred for each host from its pages.
 
 Pages are token streams: opening and closing block tags with their classes, and text. ``infer`` aligns the streams of one
-host two by two. Where they agree a tag stays; where they do not, the odd one becomes an optional group, a run of like groups
-becomes one repeated group, and texts become slots. The result is a regular expression without alternatives, the host's
-wrapper. Its groups are classified: kinds that the tag or a class names as navigation, advert, form, comment and
-so on are left out with all inside; of the others the main region is an article or main group, or else the group that holds most of
-the text. A slot whose text is the same on all of many pages belongs to the template and is left out. ``extract`` reads a page again
-and keeps the texts of the slots that its host's wrapper keeps.
-
-For scale the streams are first reduced to their shapes, that is with runs collapsed and texts blanked; a host has few distinct
-shapes. They are merged in groups of at most about ``FAN``, level by level, until a host has one wrapper. Statistics of slots
-are partial sums per host and slot. So a host with a third of all pages costs no task more than another does.
-
-Cases: a null or empty html gives an empty text; a null or odd url belongs to the host "" and is handled alike; a page without tags is text
-outside any group and is kept whole; tags left open are closed at the end; equal pages give equal rows; an empty table gives no
-rows; other columns are ignored.
+layout of a host two by two. Where they agree a tag stays; where they do not, the odd one becomes an optional group, a run of like
+groups becomes one repeated group, and texts become slots. The result is a regular expression without alternatives, the wrapper.
+Pages of a host have one layout if their containers that may hold main text are nested alike (``layout``).
+
+``Slots`` numbers the slots of a wrapper by their position in it, and matches a page's groups against the wrapper in order:
+so each text of a page has a slot, also where two slots lie under the same tags. Groups are classified: kinds that the tag or a class
+names as navigation, advert, form, comment and so on are left out with all inside; of the others the main region is an article or main
+group, or else the group that holds most of the layout's text. A text that stands in one slot on at least ``CONSTANT`` distinct pages,
+and on most distinct pages of the layout, belongs to the template and is left out; so a boilerplate paragraph is told apart
+from its neighbours in a repeated group. ``extract`` reads a page again and keeps the other texts of the region. A page without
+text in its layout's region, or of no known host, is classified alone.
+
+For scale the streams are first reduced to their shapes, that is with runs collapsed and texts blanked; a layout has few distinct
+shapes. They are merged in groups of at most about ``FAN``, level by level, until a layout has one wrapper. Statistics of slots
+and of their texts are DataFrame aggregates; only a layout's slots and template texts come together.
+
+Cases: a null or empty html gives an empty text; pages with a null or odd url share no template and are read each alone; a page without
+tags is text outside any group and is kept whole; tags left open are closed at the end; equal pages count as one for
+the template and give equal rows; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import read, stored
 
 FAN = 32
-#: Pages on which a slot must have the same text to belong to the template.
+#: Distinct pages on which a slot must have the same text to belong to the template, if they are most of the layout's.
 CONSTANT = 5
 
 TOKEN = re.compile(
@@ -201,13 +206,13 @@ def slots(page: str | None) -> Iterator[tuple[tuple[str, ...], str, int]]:
 # A wrapper is a list of groups [name, repeated, optional, groups]; the name "#" is a text slot.
 
 
-def shape(page: str | None) -> list:
-    """The page as a wrapper of its own: runs of like groups collapsed, texts blanked."""
+def tree(page: str | None) -> list:
+    """The page's groups in order; a slot "#" holds its (text, block number) instead of groups."""
     root: list = []
     last: tuple[str, ...] = ()
     stack: list[list] = [root]
     seen_block = -1
-    for path, _, block in slots(page):
+    for path, text, block in slots(page):
         n = 0
         while n < min(len(path), len(last)) and path[n] == last[n] and (n + 1 < len(path) or block == seen_block or path != last):
             n += 1
@@ -218,8 +223,18 @@ def shape(page: str | None) -> list:
             stack.append(group[3])
         if not stack[-1] or stack[-1][-1][0] != "#":
             stack[-1].append(["#", False, False, []])
+        stack[-1][-1][3].append((text, block))
         last, seen_block = path, block
-    return collapse(root)
+    return root
+
+
+def shape(page: str | None) -> list:
+    """The page as a wrapper of its own: runs of like groups collapsed, texts blanked."""
+    return collapse(blank(tree(page)))
+
+
+def blank(groups: list) -> list:
+    return [[name, repeated, optional, [] if name == "#" else blank(inner)] for name, repeated, optional, inner in groups]
 
 
 def collapse(groups: list) -> list:
@@ -285,128 +300,306 @@ def paths(wrapper: list, above: tuple = ()) -> Iterator[tuple[str, ...]]:
             yield from paths(inner, (*above, name))
 
 
-def main_paths(wrapper: list, stats: dict[tuple[str, ...], tuple[int, int, bool]], pages: int) -> list[tuple[str, ...]]:
-    """Paths of the slots with main text. ``stats``: per path its pages, characters, and if its text is always the same."""
-    known = sorted(set(paths(wrapper)))
-    inside = {p: any(into_text(x) for x in p) for p in known}
+def barred(p: tuple[str, ...]) -> bool:
+    return any(out_of_text(x, any(into_text(y) for y in p[:k])) for k, x in enumerate(p))
 
-    def barred(p: tuple[str, ...]) -> bool:
-        return any(out_of_text(x, any(into_text(y) for y in p[:k])) for k, x in enumerate(p))
 
-    left = [p for p in known if not barred(p)]
+def region_of(known: dict, mass: dict) -> list:
+    """Of slots with their paths those of the main region; ``mass`` has the characters of each."""
+    left = [s for s in sorted(known) if not barred(known[s])]
     for wanted in (lambda x: x.split(".")[0] == "article", lambda x: x.split(".")[0] == "main", into_text):
-        region = [p for p in left if any(wanted(x) for x in p)]
+        region = [s for s in left if any(wanted(x) for x in known[s])]
         if region:
+            return region
+    # The deepest group that holds most of the text.
+    region, depth = left, 0
+    while region:
+        total = sum(mass.get(s, 0) for s in region)
+        below: dict[tuple[str, ...], int] = {}
+        for s in region:
+            if len(known[s]) > depth:
+                top = known[s][: depth + 1]
+                below[top] = below.get(top, 0) + mass.get(s, 0)
+        top = max(below, key=lambda x: (below[x], x), default=None)
+        if top is None or below[top] < 0.7 * total or top[-1].split(".")[0] in ("p", "h1", "li", "td", "tr", "blockquote", "pre"):
             break
-    else:
-        # The deepest group that holds most of the text.
-        region, depth = left, 0
-        mass = {p: stats.get(p, (0, 0, False))[1] for p in left}
-        while region:
-            total = sum(mass[p] for p in region)
-            below: dict[tuple[str, ...], int] = {}
-            for p in region:
-                if len(p) > depth:
-                    below[p[: depth + 1]] = below.get(p[: depth + 1], 0) + mass[p]
-            top = max(below, key=lambda x: (below[x], x), default=None)
-            if top is None or below[top] < 0.7 * total or top[-1].split(".")[0] in ("p", "h1", "li", "td", "tr", "blockquote", "pre"):
-                break
-            region, depth = [p for p in region if p[: depth + 1] == top], depth + 1
-    free = [p for p in region if not (stats.get(p, (0, 0, False))[2] and stats[p][0] >= CONSTANT)]
+        region, depth = [s for s in region if known[s][: depth + 1] == top], depth + 1
+    return region
+
+
+def main_paths(wrapper: list, stats: dict[tuple[str, ...], tuple[int, int, bool]], pages: int) -> list[tuple[str, ...]]:
+    """Paths of the slots with main text. ``stats``: per path its pages, characters, and if its text is always the same."""
+    region = region_of({p: p for p in paths(wrapper)}, {p: c for p, (_, c, _) in stats.items()})
+    free = [p for p in region if not (stats.get(p, (0, 0, False))[2] and stats[p][0] >= CONSTANT and 2 * stats[p][0] > pages)]
     return free if sum(stats.get(p, (0, 0, False))[1] for p in free) * 2 > sum(stats.get(p, (0, 0, False))[1] for p in region) else region
 
 
+#: Groups that lay a page out, and how many of them below the body tell layouts apart.
+CONTAINERS = {"html", "body", "div", "section", "main", "article"}
+LEVELS = 3
+
+
+def layout(wrapper: list) -> str:
+    """How the containers of a shape that may hold main text are nested, down to the first that is named as such."""
+    found = set()
+
+    def walk(groups: list, above: tuple[str, ...], depth: int) -> None:
+        for name, _, _, inner in groups:
+            tag, *kinds = name.split(".")
+            if tag not in CONTAINERS or out_of_text(name, False):
+                continue
+            here = above if tag in ("html", "body") else (*above, ".".join([tag, *(k for k in kinds if k in IN_WORDS)]))
+            if here != above:
+                found.add("/".join(here))
+            if not into_text(name) and depth < LEVELS:
+                walk(inner, here, depth + (here != above))
+
+    walk(wrapper, (), 0)
+    return " ".join(sorted(found))
+
+
+class Slots:
+    """A wrapper whose slots are numbered by their position in it; ``path`` has the path of each."""
+
+    def __init__(self, wrapper: list):
+        self.path: dict[int, tuple[str, ...]] = {}
+        self.top = self.numbered(wrapper, ())
+
+    def numbered(self, wrapper: list, above: tuple[str, ...]) -> list:
+        out = []
+        for name, _, _, inner in wrapper:
+            if name == "#":
+                self.path[len(self.path)] = above
+                out.append((name, len(self.path) - 1))
+            else:
+                out.append((name, self.numbered(inner, (*above, name))))
+        return out
+
+    def match(self, groups: list) -> Iterator[tuple[int, list]]:
+        """(slot, texts) of each slot of a page's groups in order; -1 where the wrapper has none."""
+        memo: dict = {}
+
+        def choose(groups: list, nodes: list) -> tuple[int, list]:
+            """The most slots that groups and nodes match in order, and each run of like groups with its node."""
+            key = id(groups), id(nodes)
+            if key in memo:
+                return memo[key]
+            runs: list = []
+            for g in groups:
+                if runs and runs[-1][0][0] == g[0]:
+                    runs[-1].append(g)
+                else:
+                    runs.append([g])
+            at = {name: k for k, (name, _) in enumerate(nodes)}
+            own = [at.get(r[0][0]) for r in runs]
+            if len(at) == len(nodes) and None not in own and all(x < y for x, y in zip(own, own[1:])):
+                memo[key] = sum(score(r, nodes[k]) for r, k in zip(runs, own)), [(r, nodes[k]) for r, k in zip(runs, own)]
+                return memo[key]
+            n, m = len(runs), len(nodes)
+            best = [[0] * (m + 1) for _ in range(n + 1)]
+            hit: dict = {}
+            for i in range(n - 1, -1, -1):
+                for j in range(m - 1, -1, -1):
+                    best[i][j] = max(best[i + 1][j], best[i][j + 1])
+                    if runs[i][0][0] == nodes[j][0]:
+                        hit[i, j] = score(runs[i], nodes[j])
+                        best[i][j] = max(best[i][j], best[i + 1][j + 1] + hit[i, j])
+            out, i, j = [], 0, 0
+            while i < n:
+                if j < m and hit.get((i, j), 0) and best[i][j] == best[i + 1][j + 1] + hit[i, j]:
+                    out.append((runs[i], nodes[j]))
+                    i, j = i + 1, j + 1
+                elif j < m and best[i][j] == best[i][j + 1]:
+                    j += 1
+                else:
+                    out.append((runs[i], None))
+                    i += 1
+            memo[key] = best[0][0], out
+            return memo[key]
+
+        def score(run: list, node: tuple) -> int:
+            return len(run) if node[0] == "#" else sum(choose(g[3], node[1])[0] for g in run)
+
+        def place(groups: list, nodes: list) -> Iterator[tuple[int, list]]:
+            for run, node in choose(groups, nodes)[1]:
+                for g in run:
+                    if g[0] == "#":
+                        yield -1 if node is None else node[1], g[3]
+                    else:
+                        yield from place(g[3], nothing if node is None else node[1])
+
+        nothing: list = []
+        yield from place(groups, self.top)
+
+
 def host_of(url: str | None) -> str:
     m = re.match(r"\s*[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", url or "")
     return m[1].lower() if m else ""
 
 
-def main_text(page: str | None, kept: set[tuple[str, ...]]) -> str:
-    """The texts of kept slots: references decoded, white space in a block one space, blocks joined by one space."""
+def joined(found: Iterator[tuple[str, int]]) -> str:
+    """Texts with their blocks as one: references decoded, white space in a block one space, blocks joined by one space."""
     parts: list[str] = []
     last = None
-    for path, text, block in slots(page):
-        if path in kept:
-            if block != last:
-                parts.append(" ")
-            parts.append(text)
-            last = block
+    for text, block in found:
+        if block != last:
+            parts.append(" ")
+        parts.append(text)
+        last = block
     return " ".join(entities.unescape("".join(parts)).split())
 
 
+def main_text(page: str | None, kept: set[tuple[str, ...]]) -> str:
+    """The texts of the slots under kept paths."""
+    return joined((text, block) for path, text, block in slots(page) if path in kept)
+
+
+def alone(page: str | None) -> str:
+    """The main text of a page that is classified by itself."""
+    mass: dict = {}
+    for path, text, _ in slots(page):
+        mass[path] = mass.get(path, 0) + len(" ".join(text.split()))
+    return main_text(page, set(main_paths(shape(page), {p: (1, c, False) for p, c in mass.items()}, 1)))
+
+
+def digest(text: str) -> int:
+    from xxhash import xxh64_intdigest
+
+    x = xxh64_intdigest(text.encode("utf-8", "surrogatepass"))
+    return x - (1 << 64) if x >> 63 else x
+
+
+def slot_text(texts: list[tuple[str, int]]) -> str:
+    return " ".join("".join(t for t, _ in texts).split())
+
+
+def read_page(page: str | None, known: Slots | None, kept: set[int], template: set[tuple[int, int]]) -> str:
+    """The page's texts in kept slots without the template's, or what ``alone`` gives if those slots have no text here."""
+    if known is not None:
+        region = [(slot, texts) for slot, texts in known.match(tree(page)) if slot in kept]
+        if any(slot_text(texts) for _, texts in region):
+            return joined(x for slot, texts in region if not template or (slot, digest(slot_text(texts))) not in template for x in texts)
+    return alone(page)
+
+
+def layout_key(url: str | None, wrapper: list) -> int | None:
+    """One number for a host and layout; none for a page without a host."""
+    host = host_of(url)
+    return digest(f"{host}\n{layout(wrapper)}") if host else None
+
+
 def survey(pages: DataFrame) -> DataFrame:
-    """Rows (host, shape, path, pages, chars, low, high): partial sums for shapes (path null) and for slots (shape null)."""
+    """Rows (layout, wrapper, pages): the distinct shapes of each layout of a host."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from xxhash import xxh64_intdigest
-
         for b in batches:
             shapes: dict = {}
-            found: dict = {}
             for url, page in zip(b["url"], b["html"]):
-                host = host_of(url)
-                s = json.dumps(shape(page), separators=(",", ":"))
-                shapes[host, s] = shapes.get((host, s), 0) + 1
-                own: dict = {}
-                for path, text, _ in slots(page):
-                    own.setdefault(path, []).append(text)
-                for path, all_of in own.items():
-                    text = " ".join("".join(all_of).split())
-                    h = xxh64_intdigest(text.encode("utf-8", "surrogatepass")) >> 1
-                    n, c, lo, hi = found.get((host, path), (0, 0, h, h))
-                    found[host, path] = n + 1, c + len(text), min(lo, h), max(hi, h)
-            rows = [(h, s, None, n, 0, 0, 0) for (h, s), n in shapes.items()]
-            rows += [(h, None, json.dumps(p), *v) for (h, p), v in found.items()]
-            yield pd.DataFrame(rows, columns=["host", "shape", "path", "pages", "chars", "low", "high"])
-
-    rows = pages.select("url", "html").mapInPandas(run, "host string, shape string, path string, pages long, chars long, low long, high long")
-    return rows.groupBy("host", "shape", "path").agg(F.sum("pages").alias("pages"), F.sum("chars").alias("chars"), F.min("low").alias("low"), F.max("high").alias("high"))
+                w = shape(page)
+                key = layout_key(url, w)
+                if key is not None:
+                    s = json.dumps(w, separators=(",", ":"))
+                    shapes[key, s] = shapes.get((key, s), 0) + 1
+            yield pd.DataFrame([(*k, n) for k, n in shapes.items()], columns=["layout", "wrapper", "pages"])
+
+    rows = pages.select("url", "html").mapInPandas(run, "layout long, wrapper string, pages long")
+    return rows.groupBy("layout", "wrapper").agg(F.sum("pages").alias("pages"))
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """Rows (host, pages, wrapper, kept): the wrapper as an expression, and the paths of the slots that hold main text."""
-    table = stored(survey(pages))
-    merged = table.where("shape is not null").groupBy("host", F.col("shape").alias("wrapper")).agg(F.sum("pages").alias("pages"))
+    """Rows (layout, pages, wrapper): one wrapper as JSON for each layout of a host."""
+    merged = stored(survey(pages))
 
     def join(d: pd.DataFrame) -> pd.DataFrame:
         w = infer([json.loads(x) for x in d["wrapper"]])
-        return pd.DataFrame({"host": [d["host"].iloc[0]], "wrapper": [json.dumps(w, separators=(",", ":"))], "pages": [d["pages"].sum()]})
+        return pd.DataFrame({"layout": [d["layout"].iloc[0]], "wrapper": [json.dumps(w, separators=(",", ":"))], "pages": [d["pages"].sum()]})
 
     while True:
-        most = merged.groupBy("host").count().agg(F.max("count")).first()[0] or 0
-        merged = stored(merged.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(-(-most // FAN) or 1)).alias("part")).applyInPandas(
-            lambda key, d: join(d), "host string, wrapper string, pages long"))
+        most = merged.groupBy("layout").count().agg(F.max("count")).first()[0] or 0
+        merged = stored(merged.groupBy("layout", F.pmod(F.xxhash64("wrapper"), F.lit(-(-most // FAN) or 1)).alias("part")).applyInPandas(
+            lambda key, d: join(d), "layout long, wrapper string, pages long"))
         if most <= FAN:
-            break
+            return merged
+
+
+def with_layout(pages: DataFrame) -> DataFrame:
+    @F.pandas_udf("long")
+    def key(url: pd.Series, page: pd.Series) -> pd.Series:
+        return pd.Series([layout_key(u, shape(p)) if host_of(u) else None for u, p in zip(url, page)], dtype="Int64")
+
+    return pages.withColumn("_layout", key("url", "html"))
 
-    def classify(key: tuple, w: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        stats = {tuple(json.loads(p)): (int(n), int(c), lo == hi) for p, n, c, lo, hi in zip(s["path"], s["pages"], s["chars"], s["low"], s["high"])}
-        found = json.loads(w["wrapper"].iloc[0])
-        kept = main_paths(found, stats, int(w["pages"].iloc[0]))
-        return pd.DataFrame({"host": [key[0]], "pages": [int(w["pages"].iloc[0])], "wrapper": [expression(found)], "kept": [[json.dumps(p) for p in kept]]})
 
-    slots_of = table.where("path is not null")
-    return merged.groupBy("host").cogroup(slots_of.groupBy("host")).applyInPandas(classify, "host string, pages long, wrapper string, kept array<string>")
+def text_counts(pages: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows (layout, slot, text, pages, chars): on how many distinct pages of a layout each text stands in each slot; slot -1 has the layout's pages."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo: dict = {}
+        for b in batches:
+            rows = []
+            for key, page, wrapper in zip(b["_layout"], b["html"], b["wrapper"]):
+                if wrapper not in memo:
+                    memo[wrapper] = Slots(json.loads(wrapper))
+                    while len(memo) > 1000:
+                        del memo[next(iter(memo))]
+                slots_of, own = memo[wrapper], digest(page or "")
+                rows.append((key, -1, 0, own, 0))
+                seen: dict = {}
+                for slot, texts in slots_of.match(tree(page)):
+                    if slot >= 0 and not barred(slots_of.path[slot]) and (text := slot_text(texts)):
+                        at = slot, digest(text)
+                        seen[at] = seen.get(at, 0) + len(text)
+                rows += [(key, *at, own, n) for at, n in seen.items()]
+            yield pd.DataFrame(rows, columns=["layout", "slot", "text", "page", "chars"])
+
+    rows = with_layout(pages.select("url", "html")).where("_layout is not null").join(known.select(F.col("layout").alias("_layout"), "wrapper"), "_layout")
+    found = rows.select("_layout", "html", "wrapper").mapInPandas(run, "layout long, slot int, text long, page long, chars long")
+    return found.groupBy("layout", "slot", "text").agg(F.count_distinct("page").alias("pages"), F.sum("chars").alias("chars"))
+
+
+def classified(pages: DataFrame) -> DataFrame:
+    """Rows (layout, wrapper, kept, template): the slots of the main region, and the slot and digest of each template text in it."""
+    known = wrappers(pages)
+    counts = stored(text_counts(pages, known))
+    size = counts.where("slot = -1").select("layout", F.col("pages").alias("all"))
+    often = counts.where((F.col("slot") >= 0) & (F.col("pages") >= CONSTANT)).join(size, "layout").where("2 * pages > all")
+    mass = counts.where("slot >= 0").groupBy("layout", "slot").agg(F.sum("chars").alias("chars"))
+    mass = mass.groupBy("layout").agg(F.collect_list(F.struct("slot", "chars")).alias("mass"))
+    often = often.groupBy("layout").agg(F.collect_list(F.struct("slot", "text", "chars")).alias("often"))
+
+    def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for key, wrapper, mass, often in zip(b["layout"], b["wrapper"], b["mass"], b["often"]):
+                chars = {} if mass is None else {x["slot"]: x["chars"] for x in mass}
+                kept = region_of(Slots(json.loads(wrapper)).path, chars)
+                own = [] if often is None else [x for x in often if x["slot"] in set(kept)]
+                if 2 * sum(x["chars"] for x in own) >= sum(chars.get(s, 0) for s in kept):
+                    own = []  # a template that is most of the text is no template
+                rows.append((key, wrapper, kept, [{"slot": x["slot"], "text": x["text"]} for x in own]))
+            yield pd.DataFrame(rows, columns=["layout", "wrapper", "kept", "template"])
+
+    rows = known.select("layout", "wrapper").join(mass, "layout", "left").join(often, "layout", "left")
+    return rows.mapInPandas(classify, "layout long, wrapper string, kept array<int>, template array<struct<slot: int, text: long>>")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Rows (page_id, url, text), one for each page."""
-    known = stored(wrappers(pages).select(F.col("host").alias("_host"), "kept"))
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[a-zA-Z][\w+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    known = stored(classified(pages)).select(F.col("layout").alias("_layout"), F.to_json(F.struct("wrapper", "kept", "template")).alias("_known"))
 
     @F.pandas_udf("string")
-    def read_text(page: pd.Series, kept: pd.Series) -> pd.Series:
-        memo: dict = {}
+    def read_text(page: pd.Series, known: pd.Series) -> pd.Series:
+        memo: dict = {None: (None, set(), set())}
         out = []
-        for p, k in zip(page, kept):
-            key = tuple(k) if k is not None else ()
-            if key not in memo:
-                memo[key] = {tuple(json.loads(x)) for x in key}
-            out.append(main_text(p, memo[key]))
+        for p, k in zip(page, known):
+            if k not in memo:
+                x = json.loads(k)
+                memo[k] = Slots(json.loads(x["wrapper"])), set(x["kept"]), {(t["slot"], t["text"]) for t in x["template"]}
+            out.append(read_page(p, *memo[k]))
         return pd.Series(out, dtype=object)
 
-    rows = pages.select("page_id", "url", "html", host.alias("_host")).join(known, "_host", "left")
-    return rows.select("page_id", "url", read_text("html", "kept").alias("text"))
+    rows = with_layout(pages.select("page_id", "url", "html")).join(known, "_layout", "left")
+    return rows.select("page_id", "url", read_text("html", "_known").alias("text"))
 
 
 def op7_main_text(spark: SparkSession, root: str) -> DataFrame:
