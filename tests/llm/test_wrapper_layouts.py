@@ -19,6 +19,11 @@ def test_layouts_of_a_host_do_not_empty_each_other(spark):
     assert [got[i] for i in (200, 201, 202, 210, 218)] == ["one", "two", "three", "equal", "equal"]
 
 
+def test_boilerplate_under_the_same_tags(spark):
+    pages = [(i, "http://h.org/", f"<article><p>Brought to you</p><p>Body {i} of the page, rather long</p></article>") for i in range(8)]
+    assert texts_of(spark, pages) == {i: f"Body {i} of the page, rather long" for i in range(8)}
+
+
 def test_template_needs_most_distinct_pages(spark):
     page = lambda i, x: f"<article><h2>{x}</h2><p>Body {i} of the page, rather long</p></article>"
     pages = [(i, "http://h.org/", page(i, "Same" if i < 6 else f"Own {i}")) for i in range(20)]
@@ -26,3 +31,12 @@ def test_template_needs_most_distinct_pages(spark):
     got = texts_of(spark, pages)
     assert got[0] == "Same Body 0 of the page, rather long"
     assert got[100] == "Same Body 0 of the page, rather long"
+
+
+def test_slots_by_position():
+    a = w.tree("<div><div><p>x</p></div><h2>t</h2><div><p>y</p></div></div>")
+    b = w.tree("<div><h2>t</h2><div><p>y</p></div></div>")
+    known = w.Slots(w.infer([w.collapse(w.blank(a)), w.collapse(w.blank(b))]))
+    assert [s for s, _ in known.match(a)] == [0, 1, 2]
+    assert [s for s, _ in known.match(b)] == [1, 2]
+    assert known.path[0] == known.path[2]
