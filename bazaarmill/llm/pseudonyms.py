@@ -8,6 +8,11 @@ So each kind maps one to one onto itself, the new value has the old one's length
 values get equal pseudonyms in all documents, however they are separated. Without the key none can be taken back;
 ``recover`` takes back with it.
 
+A card number may stand next to other digits: all runs of whole digit groups are tried, the longest first. Pseudonyms keep the number's
+effect on the check digit of digits around it, so a longer run is valid before and after alike. Where another run of the
+same length or more shares only some of its groups, that one can become valid, and ``recover`` then takes back that one.
+A date may be followed by ``T`` and a time.
+
 Digits, check digits and separators that belong to the format stay: a phone number's country code, an account's country,
 a mail address's host. Values that do not validate are left alone: version numbers, prices and other digits are not personal.
 
@@ -88,6 +93,11 @@ class Kind:
     name: str
     pattern: re.Pattern
     permute: Callable[[str, bytes, bool], str | None]
+    #: Start and end of finds to try in order, where one match of the pattern for each place is not enough.
+    places: Callable[[str], Iterator[tuple[int, int]]] | None = None
+
+    def tried(self, text: str) -> Iterator[tuple[int, int]]:
+        return self.places(text) if self.places else (m.span() for m in self.pattern.finditer(text))
 
 
 def card(text: str, key: bytes, back: bool) -> str | None:
@@ -95,11 +105,39 @@ def card(text: str, key: bytes, back: bool) -> str | None:
     if not 13 <= len(d) <= 19 or check_digit(d[:-1]) != int(d[-1]) or d[0] not in "23456" or len(set(d)) == 1:
         return None
     n = len(d) - 1
-    low = 10 ** (n - 1)
-    x = Feistel(key, "card", 10**n)(int(d[:-1]), lambda v: v >= low and str(v)[0] in "23456" and len(set(f"{v}{check_digit(str(v))}")) > 1, back)
+    low, after = 10 ** (n - 1), check_digit(d)
+
+    def fits(v: int) -> bool:
+        """Cards on which digits before or after have the same effect: so a longer find is valid before and after, or never."""
+        own = str(v)
+        if v < low or own[0] not in "23456":
+            return False
+        own += str(check_digit(own))
+        return len(set(own)) > 1 and check_digit(own) == after
+
+    x = Feistel(key, "card", 10**n)(int(d[:-1]), fits, back)
     return refill(text, f"{x}{check_digit(str(x))}")
 
 
+def card_places(text: str) -> Iterator[tuple[int, int]]:
+    """Where 13 to 19 digits stand between the edges of their groups, the longest of a chain of groups first."""
+    for chain in re.finditer(r"\d(?:[ -]?\d){12,}", text):
+        groups = [(m.start() + chain.start(), m.end() + chain.start()) for m in re.finditer(r"\d+", chain[0])]
+        ends = [not re.match(r"[\w-]|\.\d", text[b : b + 2]) for _, b in groups]
+        found = []
+        for i, (a, _) in enumerate(groups):
+            if a and re.match(r"[\w.-]", text[a - 1]):
+                continue
+            n = 0
+            for (x, b), end in zip(groups[i : i + 19], ends[i : i + 19]):
+                n += b - x
+                if n > 19:
+                    break
+                if n >= 13 and end:
+                    found.append((-n, a, b))
+        yield from ((a, b) for _, a, b in sorted(found))
+
+
 def account(text: str, key: bytes, back: bool) -> str | None:
     """International bank account numbers: the country and the pattern of letters and digits stay, check digits follow."""
     v = bare(text).upper()
@@ -229,9 +267,9 @@ KINDS = (
     Kind("mail", re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?!\w)"), mail),
     Kind("account", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)"), account),
     Kind("network", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)(?!\w)"), network),
-    Kind("date", re.compile(r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\w/-])(?!\.\d)"), date),
+    Kind("date", re.compile(r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?:(?![\w/-])(?!\.\d)|(?=T\d{2}(?::?\d{2}){0,2}(?!\d)))"), date),
     Kind("social", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), social),
-    Kind("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])(?!\.\d)"), card),
+    Kind("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])(?!\.\d)"), card, card_places),
     Kind("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])"), phone),
 )
 #: A text without any of these has no value of any kind.
@@ -244,12 +282,12 @@ def pseudonymise(text: str | None, key: bytes, back: bool = False) -> tuple[str
         return text, []
     found: list[tuple[int, int, str, str]] = []
     for kind in KINDS:
-        for m in kind.pattern.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b, *_ in found):
+        for start, end in kind.tried(text):
+            if any(a < end and start < b for a, b, *_ in found):
                 continue
-            new = kind.permute(m[0], key, back)
+            new = kind.permute(text[start:end], key, back)
             if new is not None:
-                found.append((m.start(), m.end(), kind.name, new))
+                found.append((start, end, kind.name, new))
     found.sort()
     parts, at = [], 0
     for a, b, _, new in found:

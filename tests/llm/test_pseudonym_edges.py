@@ -1,0 +1,48 @@
+"""Card numbers next to other digits, and dates with a time."""
+
+import random
+
+import pytest
+
+from bazaarmill.llm import pseudonyms as p
+
+KEY = b"k"
+
+
+@pytest.mark.parametrize("card,rest", [("4111 1111 1111 1111", " 123"), ("4111 1111 1111 1111", " 12/27"), ("4041-8949-7460-8795", " 7"), ("4041894974608795", " 123"), ("4041894974608795", " 2024 17")])
+def test_card_before_other_digits(card, rest):
+    text = f"paid {card}{rest}."
+    new, found = p.pseudonymise(text, KEY)
+    assert [(k, text[a:b]) for k, a, b in found] == [("card", card)]
+    assert new == f"paid {p.pseudonymise(card, KEY)[0]}{rest}." and card not in new
+    assert p.recover(new, KEY) == text
+
+
+@pytest.mark.parametrize("head", ["12", "123", "2021-03-04"])
+def test_card_behind_other_digits(head):
+    new, found = p.pseudonymise(f"{head} 4111 1111 1111 1111", KEY)
+    assert found[-1][0] == "card" and new.endswith(p.pseudonymise("4111 1111 1111 1111", KEY)[0])
+
+
+def test_card_and_digits_are_taken_back():
+    rng = random.Random(3)
+    for _ in range(200):
+        d = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        d += str(p.check_digit(d))
+        text = f"{d[:4]} {d[4:8]} {d[8:12]} {d[12:]} {rng.randint(0, 999)}"
+        new, found = p.pseudonymise(text, KEY)
+        assert new != text and [k for k, *_ in found] == ["card"]
+        assert p.recover(new, KEY) == text
+
+
+@pytest.mark.parametrize("time", ["T10:00", "T10:00:59Z", "T10:00:00.123+02:00", "T1000"])
+def test_date_with_a_time(time):
+    new, found = p.pseudonymise(f"at 2021-03-04{time}", KEY)
+    assert [k for k, *_ in found] == ["date"]
+    assert new == f"at {p.pseudonymise('2021-03-04', KEY)[0]}{time}"
+    assert p.recover(new, KEY) == f"at 2021-03-04{time}"
+
+
+@pytest.mark.parametrize("text", ["2021-03-04x", "2021-03-04T", "2021-03-04Total"])
+def test_no_date(text):
+    assert p.pseudonymise(text, KEY) == (text, [])
