@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import checkpoint_folder
 from .common import read, remainder, words
 
-ORDER = 2
+ORDER = 3
 TOP = 5
 BLOCK_WORDS = 2_000_000
 OWNED = np.uint64(1 << 63)
