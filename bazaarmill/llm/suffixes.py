@@ -41,6 +41,8 @@ from .simhash import whole_groups
 LENGTH = 100
 ANCHOR = 48
 HOT = 20_000
+#: In the place of a count, for an anchor with a long run.
+MANY = 2**32 - 1
 #: Strings in one run beyond which its anchor is treated as one that occurs too often: periodic text.
 LONG = 2_000
 BLOCK_BYTES = 12_000_000
@@ -322,6 +324,18 @@ def repeated_places(groups: pd.DataFrame, length: int) -> Iterator[pd.DataFrame]
         yield pd.DataFrame({"block": [block], "places": [np.concatenate(parts).astype("<i8").tobytes()]})
 
 
+def asked(n: np.ndarray, is_long: np.ndarray) -> np.ndarray:
+    """How often a block has each anchor; ``MANY`` for those with a long run."""
+    return np.where(is_long, MANY, np.minimum(n, MANY - 1)).astype(np.uint32)
+
+
+def anchor_kinds(counts: np.ndarray, back: np.ndarray, size: int, hot: int) -> np.ndarray:
+    """For each block's anchor 0 if it occurs once in all, 2 if more than ``hot`` times or in a long run, else 1."""
+    total = np.bincount(back, counts, size)
+    total[back[counts == MANY]] = hot + 1
+    return ((total > 1).astype(np.uint8) + (total > hot))[back]
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: int = HOT) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256): spans are the removed byte ranges [start, end)."""
     spark = docs.sparkSession
@@ -345,19 +359,15 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: in
     def ask(number: int, t: Texts) -> Iterator[pd.DataFrame]:
         _, h, first, last, _, places = t.runs(length, anchor)
         u, n = np.unique(places, return_counts=True)
-        n = np.minimum(n, 254)
-        n[np.isin(u, h[last - first >= LONG])] = 255
+        n = asked(n, np.isin(u, h[last - first >= LONG]))
         edge = np.searchsorted(u >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).tolist()
-        rows = [(r, number, packed_keys(u[a:b]), packed(n[a:b].astype(np.uint8))) for r, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
+        rows = [(r, number, packed_keys(u[a:b]), packed(n[a:b])) for r, (a, b) in enumerate(zip(edge, edge[1:])) if b > a]
         yield pd.DataFrame(rows, columns=["part", "block", "keys", "counts"])
 
     def answer(d: pd.DataFrame) -> pd.DataFrame:
         keys = [unpacked_keys(k) for k in d["keys"]]
         u, back = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([unpacked(c, np.uint8) for c in d["counts"]])
-        total = np.bincount(back, counts, len(u))
-        total[back[counts == 255]] = hot + 1
-        kind = ((total > 1).astype(np.uint8) + (total > hot))[back]
+        kind = anchor_kinds(np.concatenate([unpacked(c, np.uint32) for c in d["counts"]]), back, len(u), hot)
         rows, at = [], 0
         for block, k in zip(d["block"], keys):
             rows.append((int(d["part"].iloc[0]), block, packed(kind[at : at + len(k)])))
