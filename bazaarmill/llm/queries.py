@@ -5,6 +5,7 @@ from .curriculum import op2_curriculum
 from .decontaminate import op4_decontaminate
 from .katz import op1_katz
 from .langid import op3_language_id
+from .prefixtrie import SQL as PREFIX_TRIE, op11_prefix_trie
 from .pseudonyms import op6_pseudonyms
 from .simhash import op9_simhash
 from .suffixes import op10_suffix_dedup
@@ -22,6 +23,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op8_token_ids": op8_token_ids,
     "op9_simhash": op9_simhash,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_prefix_trie": PREFIX_TRIE}
