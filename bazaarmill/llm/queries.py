@@ -5,8 +5,10 @@ from .curriculum import op2_curriculum
 from .decontaminate import op4_decontaminate
 from .katz import op1_katz
 from .langid import op3_language_id
+from .nsbounds import SQL as CENTROIDS, op13_centroids
 from .prefixtrie import SQL as PREFIX_TRIE, op11_prefix_trie
 from .pseudonyms import op6_pseudonyms
+from .ranking import op12_quality
 from .simhash import op9_simhash
 from .suffixes import op10_suffix_dedup
 from .tokenids import op8_token_ids
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_simhash": op9_simhash,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_quality": op12_quality,
+    "op13_centroids": op13_centroids,
 }
 
-SQL: dict[str, str] = {"op11_prefix_trie": PREFIX_TRIE}
+SQL: dict[str, str] = {"op11_prefix_trie": PREFIX_TRIE, "op13_centroids": CENTROIDS}
