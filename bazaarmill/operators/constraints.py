@@ -120,6 +120,13 @@ def row_rules(table: str) -> list[Check | NotNull]:
     return rules
 
 
+def set_rules(table: str) -> tuple[list[Unique], list[ForeignKey]]:
+    """Keys and references of one table."""
+    unique = [Unique(f"{t} key", t, (k,)) for t, k in PRIMARY_KEYS.items() if t == table]
+    unique += [Unique(f"{t} unique {'+'.join(c)}", t, c) for t, c in UNIQUE if t == table]
+    return unique, [ForeignKey(f"{t}.{c} -> {p}", t, c, p, PRIMARY_KEYS[p]) for t, c, p in REFERENCES if t == table]
+
+
 def all_rules() -> list[Rule]:
     tables = list(PRIMARY_KEYS)
     rules: list[Rule] = [r for t in tables for r in row_rules(t)]

@@ -143,29 +143,45 @@ def daily_net(postings: DataFrame, entity: Sequence[str], accounts: Sequence[str
     )
 
 
-def deficit_cascade(
-    postings: DataFrame,
+#: Days that are folded together. A day's log entry is copied once per later corrected day of its block, and a block's log once.
+BLOCK_DAYS = 256
+
+
+def day_vectors(days: DataFrame, entity: Sequence[str], accounts: Sequence[str] = ACCOUNTS, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per entity with its days in order (``_days``); ``carry`` are columns that are equal in all rows of an entity.
+
+    The vector has one entry per day, however many postings there are, so it is as long as the calendar.
+    """
+    return days.groupBy(*entity, *carry).agg(F.sort_array(F.collect_list(F.struct("day", *accounts))).alias("_days"))
+
+
+def fold_days(
+    vectors: DataFrame,
     entity: Sequence[str],
     accounts: Sequence[str] = ACCOUNTS,
     chain: Sequence[tuple[str, str]] = CHAIN,
     buffer_pct: str = BUFFER_PCT,
     buffer_abs: str = BUFFER_ABS,
+    start: dict[str, Column] | None = None,
+    every_day: bool = False,
 ) -> DataFrame:
-    """Correction transfers: an account that ends a day below zero is filled up from the next one.
+    """(entity, day, accounts, f0, f1 ...): closing balances after corrections and the correction of each link of the chain.
 
-    A correction changes the balances of the days after it, so the days of an entity are a true
-    sequence. Rows are summed to one entry per day first; what is folded is a short vector whose
-    length is the number of days, however many postings the entity has. The fold is a built-in
-    higher-order function and runs in parallel over entities.
+    Only days with a correction, or all with ``every_day``. ``start`` has the balances to go on from, zero by default. A correction
+    changes the balances of the days after it, so the days of an entity are a true sequence. They are folded in blocks: the
+    balances are carried from block to block, and each block's log is a list of its own, so the time is linear in the days.
+    The folds are built-in higher-order functions and run in parallel over entities.
     """
-    fixes_type = "array<struct<day:date," + ",".join(f"f{i}:{TOTAL}" for i in range(len(chain))) + ">>"
-    days = daily_net(postings, entity, accounts)
-    vectors = days.groupBy(*entity).agg(F.sort_array(F.collect_list(F.struct("day", *accounts))).alias("_days"))
+    columns = [f"{a}:{TOTAL}" for a in accounts] + [f"f{i}:{TOTAL}" for i in range(len(chain))]
+    entry_type = "struct<day:date," + ",".join(columns) + ">"
     zero = F.lit(0).cast(TOTAL)
-    start = F.struct(*[zero.alias(a) for a in accounts], F.array().cast(fixes_type).alias("fixes"))
+    first = {a: (start or {}).get(a, zero).cast(TOTAL) for a in accounts}
+
+    def state(balance: dict[str, Column], log: Column) -> Column:
+        return F.struct(*[balance[a].alias(a) for a in accounts], log.alias("log"))
 
-    def step(state: Column, d: Column) -> Column:
-        balance = {a: (state[a] + d[a]).cast(TOTAL) for a in accounts}
+    def day(held: Column, d: Column) -> Column:
+        balance = {a: (held[a] + d[a]).cast(TOTAL) for a in accounts}
         fixes = []
         for short, payer in chain:
             needed = (F.abs(balance[short]) * F.lit(buffer_pct).cast("decimal(3,2)") + F.lit(buffer_abs).cast(TOTAL)).cast(TOTAL)
@@ -173,18 +189,42 @@ def deficit_cascade(
             balance[short] = (balance[short] + fix).cast(TOTAL)
             balance[payer] = (balance[payer] - fix).cast(TOTAL)
             fixes.append(fix)
-        entry = F.array(F.struct(d["day"].alias("day"), *[f.alias(f"f{i}") for i, f in enumerate(fixes)])).cast(fixes_type)
-        found = reduce(lambda a, b: a | b, [f > 0 for f in fixes])
-        log = F.when(found, F.concat(state["fixes"], entry)).otherwise(state["fixes"])
-        return F.struct(*[balance[a].alias(a) for a in accounts], log.alias("fixes"))
+        entry = F.struct(d["day"].alias("day"), *[balance[a].alias(a) for a in accounts], *[f.alias(f"f{i}") for i, f in enumerate(fixes)])
+        log = F.concat(held["log"], F.array(entry).cast(f"array<{entry_type}>"))
+        found = reduce(lambda x, y: x | y, [f > 0 for f in fixes])
+        return state(balance, log if every_day else F.when(found, log).otherwise(held["log"]))
+
+    def block(held: Column, days: Column) -> Column:
+        done = F.aggregate(days, state({a: held[a] for a in accounts}, F.array().cast(f"array<{entry_type}>")), day)
+        return state({a: done[a] for a in accounts}, F.concat(held["log"], F.array(done["log"]).cast(f"array<array<{entry_type}>>")))
+
+    last = ((F.size("_days") - 1) / F.lit(BLOCK_DAYS)).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice("_days", i * BLOCK_DAYS + 1, F.lit(BLOCK_DAYS)))
+    folded = F.aggregate(blocks, state(first, F.array().cast(f"array<array<{entry_type}>>")), block)
+    return vectors.select(*entity, F.explode(F.flatten(folded["log"])).alias("_e")).select(*entity, "_e.*")
 
-    fixes = vectors.select(*entity, F.explode(F.aggregate("_days", start, step)["fixes"]).alias("_fix"))
+
+def correction_postings(fixes: DataFrame, entity: Sequence[str], chain: Sequence[tuple[str, str]] = CHAIN) -> DataFrame:
+    """Both sides of the transfers in f0, f1 ...; zero amounts make none."""
     sides = [
         s
         for i, (short, payer) in enumerate(chain)
-        for s in transfer(90 + i, payer, short, F.col(f"_fix.f{i}"), f"Deficit correction to {short}", "Receive deficit correction", 2 * i)
+        for s in transfer(90 + i, payer, short, F.col(f"f{i}"), f"Deficit correction to {short}", "Receive deficit correction", 2 * i)
     ]
-    return open_postings(fixes, entity, F.col("_fix.day"), sides)
+    return open_postings(fixes, entity, F.col("day"), sides)
+
+
+def deficit_cascade(
+    postings: DataFrame,
+    entity: Sequence[str],
+    accounts: Sequence[str] = ACCOUNTS,
+    chain: Sequence[tuple[str, str]] = CHAIN,
+    buffer_pct: str = BUFFER_PCT,
+    buffer_abs: str = BUFFER_ABS,
+) -> DataFrame:
+    """Correction transfers: an account that ends a day below zero is filled up from the next one."""
+    vectors = day_vectors(daily_net(postings, entity, accounts), entity, accounts)
+    return correction_postings(fold_days(vectors, entity, accounts, chain, buffer_pct, buffer_abs), entity, chain)
 
 
 def closing_balances(postings: DataFrame, entity: Sequence[str], until: Column | None = None) -> DataFrame:

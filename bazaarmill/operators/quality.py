@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from math import lcm
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -113,3 +114,40 @@ def require_valid(df: DataFrame, rules: list[Check | NotNull]) -> DataFrame:
     """Same rows, but the job fails on the first row that breaks a rule. Use right before a write."""
     broken = reduce(lambda acc, r: acc.when(violated(r), F.lit(r.name)), rules[1:], F.when(violated(rules[0]), F.lit(rules[0].name)))
     return df.filter(F.when(broken.isNull(), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("rule violated: "), broken)).cast("boolean")))
+
+
+# What the chi-square statistic stays below in 95 of 100 samples that follow the target, by degrees of freedom.
+CHI_SQUARE_95 = {1: 3.841, 2: 5.991, 3: 7.815, 4: 9.488, 5: 11.070, 6: 12.592, 7: 14.067, 8: 15.507, 9: 16.919, 10: 18.307}
+
+
+def goodness_of_fit(df: DataFrame, label: str, targets: dict[str, int]) -> DataFrame:
+    """How well the labels follow target percentages (above zero, 100 together), beyond what chance explains.
+
+    One row: rows with a known label, rows with another or none, the chi-square statistic of the known ones, its 95 % bound and
+    the verdict: ``fits``, ``drift``, or ``drift`` whenever there are unknown labels; ``no rows`` without any. Labels are counted in one grouped
+    pass over at most one group per target and one for the rest. The statistic is one division of whole numbers, so it
+    does not depend on the order of rows.
+    """
+    if sum(targets.values()) != 100 or min(targets.values()) <= 0:
+        raise ValueError("targets must be above zero and add up to 100")
+    whole = "decimal(38,0)"
+    scale = lcm(*targets.values())
+    known = F.when(F.col(label).isin(list(targets)), F.col(label))
+    counted = df.groupBy(known.alias("label")).agg(F.count("*").alias("n"))
+    n = F.col("n").cast("decimal(18,0)")
+    weight = reduce(lambda acc, k: acc.when(F.col("label") == k, F.lit(100 * scale // targets[k])), list(targets)[1:], F.when(F.col("label") == next(iter(targets)), F.lit(100 * scale // targets[next(iter(targets))])))
+    sums = counted.agg(
+        F.coalesce(F.sum(F.when(F.col("label").isNotNull(), F.col("n"))), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum(F.when(F.col("label").isNull(), F.col("n"))), F.lit(0)).alias("unknown"),
+        F.sum((n * n).cast("decimal(30,0)") * weight.cast("decimal(8,0)")).cast(whole).alias("_squares"),
+    )
+    rows = F.col("n_rows").cast("decimal(15,0)")
+    over = (F.col("_squares") - (rows * rows).cast("decimal(30,0)") * F.lit(scale).cast("decimal(8,0)")).cast(whole)
+    chi = F.when(F.col("n_rows") > 0, over.cast("double") / (F.col("n_rows") * scale).cast("double"))
+    bound = CHI_SQUARE_95[len(targets) - 1]
+    verdict = (
+        F.when((F.col("n_rows") == 0) & (F.col("unknown") == 0), "no rows")
+        .when((F.col("unknown") > 0) | (F.col("chi_square") > bound), "drift")
+        .otherwise("fits")
+    )
+    return sums.select("n_rows", "unknown", chi.alias("chi_square")).withColumns({"bound": F.lit(bound), "verdict": verdict})

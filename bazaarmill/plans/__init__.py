@@ -1,3 +1,3 @@
 """Registered queries. Importing the package fills the registry."""
 
-from . import loading, shapes, quality, domain, reports, measures, facts  # noqa: F401
+from . import loading, shapes, quality, domain, reports, measures, facts, refresh  # noqa: F401

@@ -15,6 +15,9 @@ from ..operators import baskets, expenses, ledger, loans, pricing
 from ..operators.calendar import EVERY_YEAR, YEAR_2024, calendar_for
 from ..operators.picks import preferred_pick
 from ..registry import query
+from ..session import freeze
+from ..sources.ledgerstore import LedgerStore
+from ..sources.sinks import run_folder
 from .sqltext import (
     CAL_EVENTS, CAL_ITEMS, CAL_ORDERS, CUSTOMER, EVENTS, LINEITEM, ORDERS, PART, SUPPLIER, cents_div, dbl, draw, key_of, txt,
 )
@@ -585,12 +588,14 @@ def event_postings(t) -> DataFrame:
 
 
 def opening_postings(t) -> DataFrame:
-    first = t.events.agg(F.date_sub(F.min("e_date"), 1)).scalar()
-    return ledger.opening_balance(t.events.select("user_id").distinct(), ["user_id"], first, OPENING)
+    people = freeze(t.events.groupBy("user_id").agg(F.min("e_date").alias("first")))  # a row per user
+    first = people.agg(F.date_sub(F.min("first"), 1)).scalar()
+    return ledger.opening_balance(people, ["user_id"], first, OPENING)
 
 
 def base_postings(t) -> DataFrame:
-    return opening_postings(t).unionByName(event_postings(t))
+    """Opening and event postings as one stored table: the ledger uses them several times, and the events are read once for each kind."""
+    return freeze(opening_postings(t).unionByName(event_postings(t)))
 
 
 def full_ledger(t) -> DataFrame:
@@ -635,3 +640,18 @@ def year_end_sweep_query(t):
     rows = full_ledger(t)
     last = calendar_for(t.events, "ts", YEAR_2024).agg(F.max("full_date")).scalar()
     return ledger.year_end_sweep(rows, ["user_id"], last, keep="500.00").select("user_id", "account", "amount", "description")
+
+
+@query("ledger_resumed", f"WITH RECURSIVE {CASCADE} SELECT user_id, {key_of('day')} AS date_key, account, {money('c')} AS amount, text AS description FROM fix")
+def ledger_resumed(t):
+    """The corrections of a ledger that is continued: all loans come late, in a second batch, and one batch comes twice.
+
+    The late batch folds again what follows its first day; the result is that of one fold over everything.
+    """
+    rows = base_postings(t)
+    store = LedgerStore(t.spark, run_folder(t.spark, "ledger"), {"user_id": "bigint"})
+    late = F.col("description") == "Loan"
+    store.post(rows.filter(~late), "daily")
+    store.post(rows.filter(late), "late loans")
+    store.post(rows.filter(late), "late loans")
+    return store.corrections().select("user_id", date_key("day").alias("date_key"), "account", "amount", "description")

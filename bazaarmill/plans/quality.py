@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W, functions as F
+from functools import reduce
+from math import lcm
+
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.dates import date_key
 from ..functions.money import TOTAL, share as share_col, total
-from ..operators.quality import Check, ForeignKey, NotNull, Rule, Unique, dq_report, duplicates, row_violations, split_valid
+from ..operators.quality import (
+    CHI_SQUARE_95, Check, ForeignKey, NotNull, Rule, Unique, dq_report, duplicates, goodness_of_fit, row_violations, split_valid,
+)
 from ..registry import query
 from .shapes import SIGNED, end_of_day_balance
 from .sqltext import EVENTS, LINEITEM, ORDERS, PART, dbl, key_of, share
@@ -247,3 +252,32 @@ def dq_distribution_drift(t):
         observed.alias("observed_pct"),
         F.when(F.abs(observed - F.col("target")) > 2, "drift").otherwise("ok").alias("status"),
     )
+
+
+FIT = [
+    ("orders", "o_orderpriority", dict(TARGETS), ORDERS),
+    ("orders", "o_orderpriority", {k: 20 for k, _ in TARGETS}, ORDERS),
+    ("events", "event_type", {"view": 20, "signup": 20, "click": 20, "error": 20, "purchase": 20}, EVENTS),
+    ("events", "event_type", {"view": 50, "click": 50}, EVENTS),
+]
+
+
+def _fit_sql(i: int, table: str, label: str, targets: dict, frm: str) -> str:
+    scale = lcm(*targets.values())
+    weight = " ".join(f"WHEN '{k}' THEN {100 * scale // v}" for k, v in targets.items())
+    listed = ", ".join(f"'{k}'" for k in targets)
+    bound = CHI_SQUARE_95[len(targets) - 1]
+    return f"""SELECT {i} AS test, '{table}.{label}' AS checked, n_rows, unknown, chi_square, CAST({bound} AS DOUBLE) AS bound, CASE WHEN n_rows + unknown = 0 THEN 'no rows' WHEN unknown > 0 OR chi_square > {bound} THEN 'drift' ELSE 'fits' END AS verdict
+    FROM (SELECT coalesce(sum(n) FILTER (l IS NOT NULL), 0)::BIGINT AS n_rows, coalesce(sum(n) FILTER (l IS NULL), 0)::BIGINT AS unknown,
+      CAST(sum(n::HUGEINT * n * CASE l {weight} END) - sum(n) FILTER (l IS NOT NULL)::HUGEINT * sum(n) FILTER (l IS NOT NULL) * {scale} AS DOUBLE) / CAST(sum(n) FILTER (l IS NOT NULL) * {scale} AS DOUBLE) AS chi_square
+      FROM (SELECT CASE WHEN {label} IN ({listed}) THEN {label} END AS l, count(*) AS n FROM {frm} GROUP BY 1))"""
+
+
+@query("dq_goodness_of_fit", " UNION ALL ".join(_fit_sql(i, *x) for i, x in enumerate(FIT)))
+def dq_goodness_of_fit(t):
+    """Shares against targets with a chi-square test: what differs more than chance explains."""
+    parts = [
+        goodness_of_fit(getattr(t, table), label, targets).select(F.lit(i).alias("test"), F.lit(f"{table}.{label}").alias("checked"), "*")
+        for i, (table, label, targets, _) in enumerate(FIT)
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import reduce
 
-from pyspark.sql import Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.dates import date_key, date_of, day_name, month_name, us_week
 from ..functions.draws import draw as draw_col
@@ -12,6 +13,9 @@ from ..functions.money import TOTAL, clamp, mean as mean_col, naira, share as sh
 from ..operators import ordered, skew
 from ..operators.calendar import EVERY_YEAR, YEAR_2024, calendar_for, next_date
 from ..registry import query
+from ..session import partitions
+from ..sources.cobuckets import CoBuckets
+from ..sources.sinks import run_folder
 from .sqltext import (
     CAL_EVENTS, CAL_ITEMS, CAL_ORDERS, CUSTOMER, DAYS, EVENTS, LINEITEM, MONTHS, ORDERS, PART, SUPPLIER,
     cents_div, dbl, draw, key_of, mean, share, txt,
@@ -190,6 +194,20 @@ def header_detail_join(t):
     return t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).select("l_row", "o_orderstatus", "o_totalprice")
 
 
+@query(
+    "header_detail_bucketed",
+    f"""SELECT o_orderkey, o_orderstatus, count(*) AS lines, {dbl('sum(l_extendedprice)')} AS line_total, {dbl('max(o_totalprice)')} AS o_totalprice
+    FROM {ORDERS} JOIN {LINEITEM} l ON l_orderkey = o_orderkey GROUP BY ALL""",
+)
+def header_detail_bucketed(t):
+    """Orders and lines stored in the same buckets: join and sums per order read bucket by bucket, without a shuffle."""
+    pair = CoBuckets(t.spark, run_folder(t.spark, "order_buckets"), {"l_orderkey": "o_orderkey"}, partitions(t.spark))
+    pair.write(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"), t.lineitem.select("l_orderkey", "l_extendedprice"))
+    sums = [F.count("*").alias("lines"), total("l_extendedprice").alias("line_total"), F.max("o_totalprice").alias("o_totalprice")]
+    # a key is either hot or not, so both parts of the join can be summed for themselves
+    return reduce(DataFrame.unionByName, [part.groupBy("o_orderkey", "o_orderstatus").agg(*sums) for part in pair.parts()])
+
+
 @query(
     "cross_join_bounded",
     f"""SELECT l_partkey, count(*) AS units, CAST(sum(n) AS BIGINT) AS unit_no_sum

@@ -16,14 +16,15 @@ from ..functions.draws import draw, number_between, weighted_bucket
 from ..functions.money import AMOUNT, UNIT
 from ..operators import baskets, expenses, ledger, loans, pricing
 from ..operators.calendar import YEAR_2024, calendar, next_date
-from ..operators.constraints import all_rules, row_rules
+from ..operators.constraints import all_rules, row_rules, set_rules
 from ..operators.keys import with_surrogate_key
 from ..operators.ordered import running
 from ..operators.picks import preferred_pick
 from ..operators.quality import dq_report
 from ..schemas import TABLES as DECLARED, literal_dimension, schema
 from ..session import freeze
-from ..sources.sinks import checked, run_folder
+from ..sources.guards import Guard
+from ..sources.sinks import full_refresh, run_folder
 from ..sources.tables import Tables
 
 FIRST_DAY, LAST_DAY, LAST_DUE = "2024-01-04", "2024-12-31", "2025-12-31"
@@ -280,21 +281,28 @@ def build_warehouse(t: Tables, path: str | None = None) -> dict[str, DataFrame]:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
         return t.spark.read.schema(df.schema).parquet(f"{root}/{name}")
 
-    def load(name: str, df: DataFrame) -> DataFrame:
-        return store(name, checked(df, schema(name) if name in DECLARED else None, row_rules(name)))
+    w: dict[str, DataFrame] = {}
 
-    w = {n: load(n, df) for n, df in dimensions(t).items()}
+    def load(name: str, df: DataFrame) -> DataFrame:
+        """Types, row rules, keys and references hold before the table is put in place."""
+        unique, references = set_rules(name)
+        full_refresh(df, f"{root}/{name}", schema(name) if name in DECLARED else None, row_rules(name), Guard(unique, references, w))
+        w[name] = t.spark.read.parquet(f"{root}/{name}")
+        return w[name]
+
+    for n, df in dimensions(t).items():
+        load(n, df)
     loan_rows = store("stage_loans", build_loans(t, w["dates"]))
     payments = store("stage_repayments", build_repayments(loan_rows))
-    w["loan_repayments"] = load("loan_repayments", payments)
-    w["loans"] = load("loans", settle_loans(loan_rows, payments))
-    w["bells"] = load("bells", build_bells(t, loan_rows, w))
+    load("loans", settle_loans(loan_rows, payments))
+    load("loan_repayments", payments)
+    load("bells", build_bells(t, loan_rows, w))
     items = store("stage_items", build_items(w["bells"], w))
     sales, links = build_sales(store("stage_packed", pack_items(items)))
-    w["sales"] = load("sales", sales)
-    w["items"] = load("items", items.join(links, "item_id", "left"))
-    w["expenses"] = load("expenses", build_expenses(t, w["dates"]))
-    w["cash_movements"] = load("cash_movements", build_cash_movements(t, w))
+    load("sales", sales)
+    load("items", items.join(links, "item_id", "left"))
+    load("expenses", build_expenses(t, w["dates"]))
+    load("cash_movements", build_cash_movements(t, w))
     return w
 
 
