@@ -14,7 +14,8 @@ same length or more shares only some of its groups, that one can become valid, a
 A date may be followed by ``T`` and a time.
 
 Digits, check digits and separators that belong to the format stay: a phone number's country code, an account's country,
-a mail address's host. Values that do not validate are left alone: version numbers, prices and other digits are not personal.
+a mail address's host. Values that do not validate are left alone: version numbers, prices and other digits are not personal; nor are digits of
+other scripts, which no kind reads.
 
 Cases: a null text stays null; texts without values stay as they are; overlapping finds are resolved by the order of kinds,
 then by place; equal rows give equal rows; texts are read whole; an empty table gives no rows; other columns are ignored.
@@ -221,7 +222,7 @@ DAYS = (dt.date(1900, 1, 1), dt.date(2099, 12, 31))
 
 def date(text: str, key: bytes, back: bool) -> str | None:
     """Days from 1900 to 2099; the order of day, month and year and the separators stay."""
-    p = re.findall(r"\d+", text)
+    p = re.findall(r"[0-9]+", text)
     y, m, d = (0, 1, 2) if len(p[0]) == 4 else (2, 1, 0) if "." in text or int(p[0]) > 12 else (2, 0, 1)
     try:
         day = dt.date(int(p[y]), int(p[m]), int(p[d]))
@@ -252,6 +253,8 @@ def mail(text: str, key: bytes, back: bool) -> str | None:
 def secret(text: str, key: bytes, back: bool) -> str | None:
     """Access keys and the values of assignments; hexadecimal ones stay so."""
     m = re.fullmatch(r"(AKIA)([0-9A-Z]{16})|(.*?[:=]\s*[\"']?)([\w+/-]{8,})", text, re.S)
+    if m is None:
+        return None
     head, value = (m[1], m[2]) if m[1] else (m[3], m[4])
     own = bare(value)
     if not own.isascii() or not any(c.isdigit() for c in own):
@@ -263,14 +266,14 @@ def secret(text: str, key: bytes, back: bool) -> str | None:
 
 
 KINDS = (
-    Kind("secret", re.compile(r"\bAKIA[0-9A-Z]{16}\b|\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s*[:=]\s*[\"']?[\w+/-]{8,}", re.I), secret),
+    Kind("secret", re.compile(r"\b(?-i:AKIA[0-9A-Z]{16})\b|\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s*[:=]\s*[\"']?[\w+/-]{8,}", re.I), secret),
     Kind("mail", re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?!\w)"), mail),
-    Kind("account", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)"), account),
-    Kind("network", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)(?!\w)"), network),
-    Kind("date", re.compile(r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?:(?![\w/-])(?!\.\d)|(?=T\d{2}(?::?\d{2}){0,2}(?!\d)))"), date),
-    Kind("social", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), social),
-    Kind("card", re.compile(r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])(?!\.\d)"), card, card_places),
-    Kind("phone", re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?![\w-])"), phone),
+    Kind("account", re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)"), account),
+    Kind("network", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])(?!\w)"), network),
+    Kind("date", re.compile(r"(?<![\w./-])(?:[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4})(?:(?![\w/-])(?!\.[0-9])|(?=T[0-9]{2}(?::?[0-9]{2}){0,2}(?![0-9])))"), date),
+    Kind("social", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), social),
+    Kind("card", re.compile(r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])(?!\.[0-9])"), card, card_places),
+    Kind("phone", re.compile(r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])|(?<![\w.])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?![\w-])"), phone),
 )
 #: A text without any of these has no value of any kind.
 LIKELY = re.compile(r"\d|@")
