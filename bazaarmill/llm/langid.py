@@ -17,6 +17,7 @@ very long texts are read whole, in pieces; other columns are never read.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,9 @@ PER_LANGUAGE = 4_000
 SHARPNESS = 12.0
 #: Share of the score that a second codeword must stay under.
 CLOSE = 0.4
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Signs such as ½, ② and Ⅷ are no letters, though ``\w`` has them.
+NUMERALS = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl"))
+LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
 
 
 def grams(text: str | None) -> np.ndarray:
@@ -141,12 +144,13 @@ def learn(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
 
 def predictor(spark: SparkSession, model: Model):
     """A column over the text: struct(lang_pred, score, ambiguous)."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.languages, model.code, model.weight))  # plain data: workers have no package to load a class from
 
     @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
     def predicted(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        here = Model(*shared.value)
         for b in texts:
-            yield shared.value.predict(list(b))
+            yield here.predict(list(b))
 
     return predicted("text")
 

@@ -63,3 +63,10 @@ def test_stage_keeps_clean_rows(docs):
     assert kept.columns == docs.columns
     gone = docs.count() - kept.count()
     assert 4 <= gone <= 8
+
+
+@pytest.mark.parametrize("text", ["½ ② Ⅷ ²", "٣ 12 ⅓", "_ __ 4"])
+def test_number_signs_are_no_letters(text):
+    assert len(g.grams(text)) == 0
+    model = g.Model(["en"], g.codewords(1), np.zeros((g.GRAMS, 1), np.float32))
+    assert model.predict([text, "a ½"])["lang_pred"].tolist() == ["und", "en"]
