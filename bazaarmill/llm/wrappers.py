@@ -37,6 +37,8 @@ from .common import read, stored
 FAN = 32
 #: Distinct pages on which a slot must have the same text to belong to the template, if they are most of the layout's.
 CONSTANT = 5
+#: Levels of nesting that a wrapper tells apart.
+DEEP = 100
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -198,9 +200,16 @@ def texts(page: str | None) -> Iterator[tuple[tuple[str, ...], str, int]]:
 
 
 def slots(page: str | None) -> Iterator[tuple[tuple[str, ...], str, int]]:
-    """``texts`` with plain inline groups left out of the paths."""
+    """``texts`` with plain inline groups left out of the paths.
+
+    Groups nested deeper than ``DEEP`` count as part of that group; the first of them that is by its name no main text stays, so its
+    texts are still told apart. All texts stay.
+    """
     for path, text, block in texts(page):
-        yield tuple(x for x in path if x[0] != "~"), text, block
+        path = tuple(x for x in path if x[0] != "~")
+        if len(path) > DEEP:
+            path = path[:DEEP] + next(((x,) for x in path[DEEP:] if out_of_text(x, True)), ())
+        yield path, text, block
 
 
 # A wrapper is a list of groups [name, repeated, optional, groups]; the name "#" is a text slot.

@@ -1,6 +1,8 @@
 import html
 import re
 
+import pytest
+
 from bazaarmill.llm import wrappers as w
 
 PAGE = """<html><body><header class=top><h1>Site</h1></header><nav><a href=x>Home</a></nav><main><article><header><h1>T &lt;x&gt;</h1></header>
@@ -50,3 +52,14 @@ def test_query(spark):
     for r in w.op7_main_text(spark, DATA).collect():
         assert r["text"] == plain(pages[r["page_id"]])
         assert r["n_chars"] == len(r["text"])
+
+
+@pytest.mark.parametrize("deep", [1_200, 10_000])
+def test_deep_nesting(spark, deep):
+    body = "<div>" * deep + "<p>the deep text</p><nav>menu</nav>"
+    pages = [(i, f"http://h.example/{i}", f"<html><body><p>first {i}</p>{body}</body></html>") for i in range(3)]
+    pages.append((3, None, "<div><p>" * deep + "alone"))
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in w.extract(df).collect()}
+    assert all(got[i].endswith("the deep text") for i in range(3))
+    assert got[3] == "alone"
