@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import checkpoint_folder
+from ..session import run_root
 from .common import read, stored
 
 BLOCK_IDS = 1 << 20
@@ -57,7 +57,8 @@ class Pieces:
     A text is cut before every space that stands between two characters other than white space. The vocabulary's own
     splitting never joins across such a place, so the ids of the pieces, one after another, are the ids of the text. A piece of
     letters and a tail of punctuation is two words to the splitting, so these go straight to the library's merge model; any
-    other piece goes through the whole library. A text with other white space beside a space is encoded whole.
+    other piece goes through the whole library. A text with other white space beside a space is encoded whole, and so is one
+    that holds an added token of the vocabulary, such as ``<|endoftext|>``: the library takes that out before all else.
     """
 
     TAIL = ".,;:!?*$%&#()\"-/"
@@ -66,8 +67,8 @@ class Pieces:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         kind = json.loads(self.tok.to_str())
+        self.added = [t["content"] for t in kind.get("added_tokens") or []]
         # The short cut holds for byte-level vocabularies with the usual splitting into letters, digits and the rest.
         self.direct = (kind.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and kind.get("normalizer") is None and not kind["pre_tokenizer"].get("add_prefix_space")
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -146,8 +147,9 @@ class Pieces:
         flat = self.flat[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(self.at[k] - (end - n), n)]
         edge = np.concatenate([[0], end])[first]
         out = [flat[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist())]
-        # white space beside a space: those texts go whole
-        whole = np.flatnonzero(np.logical_or.reduceat(self.odd[k], first[:-1])).tolist() if len(cut) else []
+        # white space beside a space, or an added token: those texts go whole
+        odd = np.logical_or.reduceat(self.odd[k], first[:-1]) if len(cut) else []
+        whole = [i for i, t in enumerate(texts) if odd[i] or any(x in t for x in self.added)]
         for i, e in zip(whole, self.tok.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False) if whole else []):
             out[i] = np.array(e.ids, np.uint32)
         return out
@@ -384,7 +386,7 @@ def range_bounds(docs: DataFrame, parts: int) -> list[int]:
 def token_file(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 2) -> DataFrame:
     """Tokenizes, writes the file format, reads it back: rows (doc_id, start, n_tokens, ids)."""
     spark = docs.sparkSession
-    folder = folder or f"{checkpoint_folder(spark)}/token_ids/{uuid.uuid4().hex}"
+    folder = folder or f"{run_root(spark)}/token_ids/{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     tokens = stored(tokenize(docs, tokenizer, end_id, range_bounds(docs, parts)))
     write_ids(tokens, folder)

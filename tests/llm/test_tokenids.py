@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -15,9 +16,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def library():
-    tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
-    return tok
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(library, text):
@@ -36,6 +35,23 @@ def test_pieces_give_the_library_ids(library, monkeypatch):
     assert [x.tolist() for x in pieces.ids(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", " ", "a", "word", ".", "\n", "é", "  "]), max_size=12).map("".join))
+@settings(max_examples=300, deadline=None)
+def test_added_tokens_as_in_the_library(text):
+    pieces = _pieces()
+    assert pieces.ids([text, "other " + text])[0].tolist() == pieces.tok.encode(text, add_special_tokens=False).ids
+
+
+@functools.cache
+def _pieces():
+    return t.Pieces(PATH)
+
+
+def test_added_token_has_its_id(library):
+    text = "a <|endoftext|> b"
+    assert t.Pieces(PATH).ids([text])[0].tolist() == ids_of(library, text)[:-1] == [64, 220, 50256, 275]
+
+
 def test_round_trip(docs, rows, library):
     got = t.token_file(docs, PATH).collect()
     want = sorted(((-1 if r[0] is None else r[0]), ids_of(library, r[1])) for r in rows)
