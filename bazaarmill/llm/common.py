@@ -7,7 +7,7 @@ import zlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import checkpoint_folder
+from ..session import run_root
 
 
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -17,7 +17,7 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder, so that later steps do not repeat the plan above."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/llm/{uuid.uuid4().hex}"
+    path = f"{run_root(spark)}/llm/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import checkpoint_folder
+from ..session import run_root
 from .common import read, remainder, words
 
 ORDER = 3
@@ -307,7 +307,7 @@ def katz_scores(docs: DataFrame, order: int = ORDER, divisor: int = 10, folder:
     ranges of the key space follow the number of shuffle partitions.
     """
     spark = docs.sparkSession
-    folder = folder or f"{checkpoint_folder(spark)}/llm/katz-{uuid.uuid4().hex}"
+    folder = folder or f"{run_root(spark)}/llm/katz-{uuid.uuid4().hex}"
     bits = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")).bit_length())
 
     def ask_counts(number: int, block: Block) -> Iterator[pd.DataFrame]:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.ordered import row_numbers, running
-from ..session import checkpoint_folder, partitions
+from ..session import partitions, run_root
 from .common import read, stored
 
 SINGLE = 8
@@ -156,7 +156,7 @@ def peel(turns: DataFrame, convs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``turns`` are keyed turns; ``convs`` has (conv_id, n_turns) and decides which conversations end at the root.
     """
     spark = turns.sparkSession
-    path = f"{checkpoint_folder(spark)}/llm/trie-{uuid.uuid4().hex}"
+    path = f"{run_root(spark)}/llm/trie-{uuid.uuid4().hex}"
     tagged = turns.withColumn("block", block_of(F.col("depth")))
     tagged.hint("rebalance", "block").write.partitionBy("block").parquet(path)
     filed = spark.read.schema(tagged.schema).parquet(path)
