@@ -19,6 +19,7 @@ that reads back as no rows; other input columns are ignored, whatever their name
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import uuid
@@ -35,8 +36,11 @@ from .common import read, stored
 BLOCK_IDS = 1 << 20
 EVERY = 256
 MAX_BITS = 18
-#: Distinct pieces whose ids a worker keeps; beyond it only those that came more than once stay.
+#: Distinct pieces whose ids a worker keeps, and their characters; beyond either only half as many stay, of those that came more than once.
 CACHE = 300_000
+CACHE_CHARS = 8 << 20
+#: Bytes of text that are encoded together, unless one text has more.
+SLICE = 4 << 20
 
 
 class Numbers(dict):
@@ -54,11 +58,12 @@ class Numbers(dict):
 class Pieces:
     """Encodes texts with the tokenizers library, each distinct piece once.
 
-    A text is cut before every space that stands between two characters other than white space. The vocabulary's own
-    splitting never joins across such a place, so the ids of the pieces, one after another, are the ids of the text. A piece of
-    letters and a tail of punctuation is two words to the splitting, so these go straight to the library's merge model; any
-    other piece goes through the whole library. A text with other white space beside a space is encoded whole, and so is one
-    that holds an added token of the vocabulary, such as ``<|endoftext|>``: the library takes that out before all else.
+    A text is cut before every space that stands between two characters other than white space, and a piece around every such
+    line feed. The vocabulary's own splitting never joins across these places, so the ids of the pieces, one after another, are
+    the ids of the text. Letters and a tail of punctuation are two words to the splitting, so these go straight to the library's
+    merge model; any other piece goes through the whole library. A text with other white space beside a space is encoded
+    whole, and so is one that holds an added token of the vocabulary, such as ``<|endoftext|>``: the library takes that
+    out before all else.
     """
 
     TAIL = ".,;:!?*$%&#()\"-/"
@@ -70,91 +75,148 @@ class Pieces:
         kind = json.loads(self.tok.to_str())
         self.added = [t["content"] for t in kind.get("added_tokens") or []]
         # The short cut holds for byte-level vocabularies with the usual splitting into letters, digits and the rest.
-        self.direct = (kind.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and kind.get("normalizer") is None and not kind["pre_tokenizer"].get("add_prefix_space")
+        split = kind.get("pre_tokenizer") or {}
+        self.direct = split.get("type") == "ByteLevel" and split.get("use_regex", True) and kind.get("normalizer") is None and not split.get("add_prefix_space")
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.byte = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
-        self.clear([])
-
-    def clear(self, keep: list) -> None:
-        """Starts anew with the pieces ``keep``."""
-        old = [(p, self.flat[self.at[k] : self.at[k + 1]]) for p, k in keep]
-        self.known = Numbers()
-        self.uses = np.zeros(0, np.int64)
-        self.odd = np.zeros(0, bool)
-        self.at = np.zeros(1, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-        self.known.update(zip((p for p, _ in old), range(len(old))))
-        self.add([x.tolist() for _, x in old], [False] * len(old))
-
-    def add(self, rows: list[list[int]], odd: list[bool]) -> None:
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(sizes)])
-        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(sizes.sum()))])
-        self.uses = np.concatenate([self.uses, np.zeros(len(rows), np.int64)])
-        self.odd = np.concatenate([self.odd, np.array(odd, bool)])
-
-    def word(self, mapped: str) -> list[int]:
-        return [t.id for t in self.tok.model.tokenize(mapped)]
+        self.known, self.chars, self.tails = Numbers(), 0, {}
+        self.begin = self.size = self.uses = np.zeros(0, np.int64)
+        self.odd, self.flat = np.zeros(0, bool), np.zeros(0, np.uint32)
+
+    def forget(self) -> None:
+        """Keeps half of ``CACHE`` and ``CACHE_CHARS`` at most, of the pieces that came more than once."""
+        often = ((self.uses > 1) & ~self.odd).tolist()
+        kept, chars, old = Numbers(), 0, []
+        for p, k in self.known.items():
+            n = len(p) if type(p) is str else len(p[0])
+            if often[k] and len(kept) < CACHE // 2 and chars + n <= CACHE_CHARS // 2:
+                dict.__setitem__(kept, p, len(kept))
+                chars += n
+                old.append(k)
+        old = np.array(old, np.int64)
+        self.flat = self.gather(old)
+        self.size = self.size[old]
+        self.begin = np.cumsum(self.size) - self.size
+        self.uses, self.odd = np.zeros(len(old), np.int64), np.zeros(len(old), bool)
+        self.known, self.chars = kept, chars
+
+    def gather(self, k: np.ndarray) -> np.ndarray:
+        """The ids of pieces ``k``, one after another."""
+        n = self.size[k]
+        end = np.cumsum(n)
+        return self.flat[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(self.begin[k] - (end - n), n)]
 
     def learn(self, new: list) -> None:
         """Ids of new pieces, in their order: a string stands for a space and itself, a tuple for a text's first piece."""
         rows: list = [None] * len(new)
-        odd = [False] * len(new)
-        rest, tails, merge = [], {}, self.tok.model.tokenize
+        odd, rest, first = np.zeros(len(new), bool), [], len(self.size)
+        known, merge, byte, tails, tail_of = self.known.get, self.tok.model.tokenize, self.byte, self.tails, self.TAIL
+
+        def part(text: str, lead: str) -> list[int] | None:
+            """The ids of letters and a tail, after a space (``lead``) or not; None if the piece is of another kind."""
+            base = text.rstrip(tail_of)
+            if not base.isalpha():
+                return None
+            ids = None
+            if lead and len(base) < len(text) and (k := known(base)) is not None:  # the same letters without the tail
+                ids = self.flat[self.begin[k] : self.begin[k] + self.size[k]].tolist() if k < first else rows[k - first]
+            if not ids:
+                ids = [t.id for t in merge(lead + (base if base.isascii() else base.encode().decode("latin-1").translate(byte)))]
+            if len(base) < len(text):
+                tail = text[len(base) :]
+                if tail not in tails:
+                    tails[tail] = [t.id for t in merge(tail)]
+                ids = ids + tails[tail]
+            return ids
+
+        def lines(text: str, lead: str) -> list[int] | None:
+            if "\n" not in text:
+                return part(text, lead)
+            ids: list[int] = []
+            for i, line in enumerate(text.split("\n")):
+                found = part(line, lead if i == 0 else "")
+                if found is None:
+                    return None
+                if i:
+                    ids += self.feed
+                ids += found
+            return ids
+
         for n, p in enumerate(new):
-            if type(p) is str:
-                base = p.rstrip(self.TAIL)
-                if self.direct and base.isalpha():
-                    ids = [t.id for t in merge("\u0120" + (base if base.isascii() else base.encode().decode("latin-1").translate(self.byte)))]
-                    if len(base) < len(p):
-                        tail = p[len(base) :]
-                        if tail not in tails:
-                            tails[tail] = self.word(tail)
-                        ids += tails[tail]
-                    rows[n] = ids
-                    continue
-                odd[n] = not p or p[0].isspace() or p[-1].isspace()
-            else:
-                odd[n] = p[0][-1:].isspace()
-            if odd[n]:
-                rows[n] = []
-            else:
+            text, lead = (p, "\u0120") if type(p) is str else (p[0], "")
+            self.chars += len(text)
+            if lead and (not text or text[0].isspace()) or text[-1:].isspace():
+                odd[n], rows[n] = True, []
+            elif not self.direct or (ids := lines(text, lead)) is None:
                 rest.append(n)
+            else:
+                rows[n] = ids
         for i in range(0, len(rest), 4096):
-            part = rest[i : i + 4096]
-            texts = [new[n][0] if type(new[n]) is tuple else " " + new[n] for n in part]
-            for n, e in zip(part, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
+            where = rest[i : i + 4096]
+            texts = [new[n][0] if type(new[n]) is tuple else " " + new[n] for n in where]
+            for n, e in zip(where, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
                 rows[n] = e.ids
-        self.add(rows, odd)
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > CACHE:
-            often = (self.uses > 1) & ~self.odd
-            self.clear([(p, k) for p, k in self.known.items() if often[k]][: CACHE // 2])
-        cut = [t.split(" ") for t in texts]
-        for x in cut:
-            x[0] = (x[0],)
-        sizes = np.fromiter(map(len, cut), np.int64, len(cut))
-        first = np.concatenate([[0], np.cumsum(sizes)])
-        k = np.fromiter(map(self.known.__getitem__, itertools.chain.from_iterable(cut)), np.int64, int(first[-1]))
+        size = np.fromiter(map(len, rows), np.int64, len(rows))
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
+        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(size.sum()))])
+        self.size = np.concatenate([self.size, size])
+        self.odd, self.uses = np.concatenate([self.odd, odd]), np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+
+    @functools.cached_property
+    def feed(self) -> list[int]:
+        return self.tok.encode("\n", add_special_tokens=False).ids
+
+    def ids(self, texts) -> list[np.ndarray]:
+        """The ids of each text of a list or an Arrow array without nulls."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not len(texts):
+            return []
+        if len(self.known) > CACHE or self.chars > CACHE_CHARS:
+            self.forget()
+        cut = pc.split_pattern(texts, " ")
+        first = cut.offsets.to_numpy().astype(np.int64)
+        words = cut.values.slice(first[0], first[-1] - first[0]).dictionary_encode()
+        first -= first[0]
+        distinct = words.dictionary.to_pylist()
+        look = self.known.__getitem__
+        k = np.fromiter(map(look, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
+        opening = words.indices.to_numpy()[first[:-1]].tolist()
+        k[first[:-1]] = [look((distinct[i],)) for i in opening]
         if self.known.new:
             self.learn(self.known.new)
             self.known.new = []
         self.uses += np.bincount(k, minlength=len(self.uses))
-        n = self.at[k + 1] - self.at[k]
-        end = np.cumsum(n)
-        flat = self.flat[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(self.at[k] - (end - n), n)]
-        edge = np.concatenate([[0], end])[first]
+        flat = self.gather(k)
+        edge = np.concatenate([[0], np.cumsum(self.size[k])])[first]
         out = [flat[a:b] for a, b in zip(edge.tolist(), edge[1:].tolist())]
         # white space beside a space, or an added token: those texts go whole
-        odd = np.logical_or.reduceat(self.odd[k], first[:-1]) if len(cut) else []
-        whole = [i for i, t in enumerate(texts) if odd[i] or any(x in t for x in self.added)]
-        for i, e in zip(whole, self.tok.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False) if whole else []):
+        odd = np.logical_or.reduceat(self.odd[k], first[:-1])
+        for x in self.added:
+            odd |= pc.match_substring(texts, x).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero(odd).tolist()
+        found = self.tok.encode_batch_fast([texts[i].as_py() for i in whole], add_special_tokens=False) if whole else []
+        for i, e in zip(whole, found):
             out[i] = np.array(e.ids, np.uint32)
         return out
 
 
+def slices(batch, column: str) -> Iterator:
+    """The rows of an Arrow batch in parts of about ``SLICE`` bytes of a column; a larger value is a part of its own."""
+    import pyarrow.compute as pc
+
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
+    at = 0
+    while at < batch.num_rows:
+        before = int(size[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(size, before + SLICE, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int] = ()) -> DataFrame:
     """Rows (doc_id, part, ids): each text's ids and the end id as little-endian unsigned 32-bit integers.
 
@@ -168,9 +230,8 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int]
         enc = Pieces(tokenizer)
         end = np.array([end_id], "<u4")
         for b in batches:
-            for i in range(0, b.num_rows, 500):
-                c = b.slice(i, 500)
-                ids = enc.ids([t or "" for t in c.column("text").to_pylist()])
+            for c in slices(b, "text"):
+                ids = enc.ids(c.column("text").fill_null(""))
                 where = c.column("doc_id").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
                 part = np.searchsorted(cuts, where, side="left").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
