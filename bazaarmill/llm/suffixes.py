@@ -27,7 +27,9 @@ table gives no rows; other columns are never read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import pickle
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -118,8 +120,9 @@ def suffix_array(s: list[int]) -> list[int]:
         while j >= 0 and not placed[j]:
             placed[j] = 1
             h = group[j]
-            out[first[h]] = j
-            first[h] += 1
+            free = first[h]
+            out[free] = j
+            first[h] = free + 1
             j = before[j]
     return out
 
@@ -243,18 +246,23 @@ def trimmed(groups: pd.DataFrame, length: int) -> Iterator[tuple[bool, list[list
     A string whose hash no other place here has is unique, for equal strings share their anchor. A run is cut to the part
     from its first to its last string that is not; runs without one are left out.
     """
-    runs: dict[tuple[int, bytes], list[np.ndarray]] = {}
     own_twice = set(groups.loc[groups["twice"], "anchor"])
-    for anchor, block, data, where in zip(groups["anchor"], groups["block"], groups["bytes"], groups["places"]):
-        w = np.frombuffer(where, "<i8").reshape(-1, 3)
-        runs.setdefault((anchor, data), []).append(np.column_stack([np.full(len(w), block), w]))
-    sizes = np.array([len(data) for _, data in runs], np.int64)
+    runs: dict[tuple[int, bytes], int] = {}
+    run = np.array([runs.setdefault(key, len(runs)) for key in zip(groups["anchor"], groups["bytes"])], np.int64)
+    counts = np.fromiter(map(len, groups["places"]), np.int64, len(groups)) // 24
+    where = np.frombuffer(b"".join(groups["places"]), "<i8").reshape(-1, 3)
+    where = np.column_stack([np.repeat(groups["block"].to_numpy(), counts), where])
+    run_of = np.repeat(run, counts)
+    where = where[np.argsort(run_of, kind="stable")]
+    copies = np.bincount(run_of, minlength=len(runs))
+    upto = np.cumsum(copies)
+    names = list(runs)
+    sizes = np.array([len(data) for _, data in names], np.int64)
     spans = sizes - length + 1
     edge = np.cumsum(sizes) - sizes
     owner = np.repeat(np.arange(len(sizes)), spans)
     offset = np.arange(len(owner)) - np.repeat(np.cumsum(spans) - spans, spans)
-    h = substring_hashes(b"".join(data for _, data in runs), length)[edge[owner] + offset]
-    copies = np.array([sum(map(len, p)) for p in runs.values()])
+    h = substring_hashes(b"".join(data for _, data in names), length)[edge[owner] + offset]
     _, back = np.unique(h, return_inverse=True)
     again = np.flatnonzero(np.bincount(back, copies[owner])[back] > 1)
     first = np.full(len(sizes), -1)
@@ -262,11 +270,11 @@ def trimmed(groups: pd.DataFrame, length: int) -> Iterator[tuple[bool, list[list
     first[owner[again][::-1]] = offset[again][::-1]
     last[owner[again]] = offset[again]
     out: dict[int, dict[bytes, list[np.ndarray]]] = {}
-    for k, ((anchor, data), places) in enumerate(runs.items()):
-        if first[k] >= 0:
-            moved = np.concatenate(places)
-            moved[:, 3] += first[k]
-            out.setdefault(anchor, {}).setdefault(data[first[k] : last[k] + length], []).append(moved)
+    for k in np.flatnonzero(first >= 0).tolist():
+        anchor, data = names[k]
+        moved = where[upto[k] - copies[k] : upto[k]].copy()
+        moved[:, 3] += first[k]
+        out.setdefault(anchor, {}).setdefault(data[first[k] : last[k] + length], []).append(moved)
     for anchor, own in out.items():
         yield anchor in own_twice, [[data, np.concatenate(p)] for data, p in own.items()]
 
@@ -406,7 +414,7 @@ def repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, hot: in
                     string = t.data[base + p : base + p + length]
                     name = int.from_bytes(hashlib.blake2b(string, digest_size=8).digest(), "little", signed=True)
                     rows.setdefault((name, string, False), []).append((w, int(t.ids[w]), p))
-        return pd.DataFrame([(k, number, b, np.array(p, "<i8").tobytes(), own) for (k, b, own), p in rows.items()], columns=columns)
+        return pd.DataFrame([(k, number, b, struct.pack(f"<{3 * len(p)}q", *itertools.chain.from_iterable(p)), own) for (k, b, own), p in rows.items()], columns=columns)
 
     runs = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInPandas(contexts, "anchor long, block long, bytes binary, places binary, twice boolean")
 
