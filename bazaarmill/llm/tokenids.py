@@ -204,15 +204,15 @@ class Pieces:
         return out
 
 
-def slices(batch, column: str) -> Iterator:
-    """The rows of an Arrow batch in parts of about ``SLICE`` bytes of a column; a larger value is a part of its own."""
+def slices(batch, column: str, most: int = SLICE) -> Iterator:
+    """The rows of an Arrow batch in parts of at most ``most`` bytes of a column; a larger value is a part of its own."""
     import pyarrow.compute as pc
 
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 64)
     at = 0
     while at < batch.num_rows:
         before = int(size[at - 1]) if at else 0
-        end = max(at + 1, int(np.searchsorted(size, before + SLICE, side="right")))
+        end = max(at + 1, int(np.searchsorted(size, before + most, side="right")))
         yield batch.slice(at, end - at)
         at = end
 
@@ -281,17 +281,21 @@ def canonical(lengths: dict[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.array(order, np.int64), size, np.array(codes, np.uint64)
 
 
-def pack(ids: np.ndarray, table: np.ndarray) -> tuple[bytes, np.ndarray, int]:
-    """Coded bits, most significant first, the bit offset of every id, and the number of bits.
+def pack_all(ids: np.ndarray, sizes: np.ndarray, table: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """Coded bits of several documents, most significant first, each from a whole byte on; ``sizes`` has their numbers of ids.
 
-    ``table`` has code * 64 + length of each id.
+    ``table`` has code * 64 + length of each id. Returns the bytes, each document's first byte and number of bits, and the bit offset
+    of every id in its document.
     """
     found = table[ids]
     n = (found & np.uint64(63)).astype(np.int64)
     end = np.cumsum(n)
-    start = end - n
-    total = int(end[-1]) if len(end) else 0
-    out = np.zeros(total // 64 + 2, np.uint64)
+    upto = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(sizes)])]
+    total = np.diff(upto)
+    begin = np.cumsum((total + 7) // 8) - (total + 7) // 8
+    local = end - n - np.repeat(upto[:-1], sizes)
+    start = local + np.repeat(8 * begin, sizes)
+    out = np.zeros((int(start[-1] + n[-1]) if len(ids) else 0) // 64 + 2, np.uint64)
     word, bit = start >> 6, start & 63
     room = 64 - bit - n  # bits left in the word after the code; negative if it goes on in the next
     code = found >> np.uint64(6)
@@ -302,7 +306,13 @@ def pack(ids: np.ndarray, table: np.ndarray) -> tuple[bytes, np.ndarray, int]:
     if len(first):
         out[word[first]] |= np.bitwise_or.reduceat(here, first)
     out[word[over] + 1] |= code[over] << (64 + room[over]).astype(np.uint64)
-    return out.astype(">u8").tobytes()[: (total + 7) // 8], start, total
+    return out.astype(">u8").tobytes(), begin, total, local
+
+
+def pack(ids: np.ndarray, table: np.ndarray) -> tuple[bytes, np.ndarray, int]:
+    """Coded bits of one document, the bit offset of every id, and the number of bits."""
+    bits, _, total, local = pack_all(ids, np.array([len(ids)]), table)
+    return bits[: (int(total[0]) + 7) // 8], local, int(total[0])
 
 
 def unpack(bits: bytes, count: int, marks: np.ndarray, every: int, max_bits: int, table: np.ndarray) -> np.ndarray:
@@ -333,8 +343,8 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
 
         total = np.zeros(1, np.int64)
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                c = np.bincount(np.frombuffer(b"".join(b.slice(lo, 500).column("ids").to_pylist()), "<u4"))
+            for part in slices(b, "ids"):
+                c = np.bincount(np.frombuffer(b"".join(part.column("ids").to_pylist()), "<u4"))
                 if len(c) > len(total):
                     total = np.pad(total, (0, len(c) - len(total)))
                 total[: len(c)] += c
@@ -354,16 +364,20 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
 
         table = shared.value
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                rows = []
-                for x in part.column("ids").to_pylist():
-                    ids = np.frombuffer(x, "<u4")
-                    bits, start, total = pack(ids, table)
-                    rows.append((len(ids), total, bits, start[::every].astype("<i8").tobytes(), zlib.crc32(x)))
-                n, n_bits, bits, marks, crc = zip(*rows)
+            for part in slices(b, "ids", 1 << 20):
+                raw = part.column("ids").to_pylist()
+                sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+                bits, begin, total, local = pack_all(np.frombuffer(b"".join(raw), "<u4"), sizes, table)
+                lanes = -(-sizes // every)
+                nth = np.arange(len(local)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                marks, edge = local[nth % every == 0].astype("<i8").tobytes(), 8 * np.concatenate([[0], np.cumsum(lanes)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("part"), pa.array(n, pa.int64()), pa.array(n_bits, pa.int64()), pa.array(bits, pa.binary()), pa.array(marks, pa.binary()), pa.array(crc, pa.int64())],
+                    [
+                        part.column("doc_id"), part.column("part"), pa.array(sizes), pa.array(total),
+                        pa.array([bits[a : a + (t + 7) // 8] for a, t in zip(begin.tolist(), total.tolist())], pa.binary()),
+                        pa.array([marks[a:z] for a, z in zip(edge.tolist(), edge[1:].tolist())], pa.binary()),
+                        pa.array([zlib.crc32(x) for x in raw], pa.int64()),
+                    ],
                     names=["doc_id", "part", "n", "n_bits", "bits", "marks", "crc"],
                 )
 
