@@ -1,7 +1,7 @@
 """Token ids in a canonical, length-limited Huffman file format.
 
-``tokenize`` turns texts into ids, ``write_ids`` stores them in ascending ``doc_id`` order, ``read_ids`` reads a folder
-back. The format is a folder of two tables:
+``tokenize`` turns texts into ids, ``write_ids`` stores them in ascending ``doc_id`` order (or that of another number), ``read_ids``
+reads a folder back. The format is a folder of two tables:
 
 * ``code``: one row per used id with its code length. Codes are canonical (sorted by length, then id), so lengths suffice.
   Lengths come from the global counts by package-merge and never exceed ``max_bits``.
@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import run_root
@@ -217,10 +218,10 @@ def slices(batch, column: str, most: int = SLICE) -> Iterator:
         at = end
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int] = ()) -> DataFrame:
-    """Rows (doc_id, part, ids): each text's ids and the end id as little-endian unsigned 32-bit integers.
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int] = (), order: str = "doc_id") -> DataFrame:
+    """Rows (doc_id, rank, part, ids): each text's ids and the end id as little-endian unsigned 32-bit integers.
 
-    ``part`` is the range of ``doc_id`` among ``bounds`` that the row is in; null ids are in the first.
+    ``rank`` is the value of ``order``, a whole number, and ``part`` its range among ``bounds``; nulls are in the first.
     """
     cuts = np.array(bounds, np.int64)
 
@@ -232,14 +233,15 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int]
         for b in batches:
             for c in slices(b, "text"):
                 ids = enc.ids(c.column("text").fill_null(""))
-                where = c.column("doc_id").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+                where = c.column("rank").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
                 part = np.searchsorted(cuts, where, side="left").astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [c.column("doc_id"), pa.array(part), pa.array([np.concatenate([x, end]).astype("<u4").tobytes() for x in ids], pa.binary())],
-                    names=["doc_id", "part", "ids"],
+                    [c.column("doc_id"), c.column("rank"), pa.array(part), pa.array([np.concatenate([x, end]).astype("<u4").tobytes() for x in ids], pa.binary())],
+                    names=["doc_id", "rank", "part", "ids"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, part int, ids binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(order).cast("long").alias("rank"), "text")
+    return rows.mapInArrow(run, "doc_id long, rank long, part int, ids binary")
 
 
 def code_lengths(counts: dict[int, int], max_bits: int) -> dict[int, int]:
@@ -331,7 +333,7 @@ def unpack(bits: bytes, count: int, marks: np.ndarray, every: int, max_bits: int
 
 
 def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_ids: int = BLOCK_IDS, every: int = EVERY) -> None:
-    """Writes rows (doc_id, part, ids) into ``folder``. Parts must be ascending ranges of ``doc_id``.
+    """Writes rows (doc_id, rank, part, ids) into ``folder`` in ascending order of rank. Parts must be ascending ranges of it.
 
     Runs three jobs: the counts of ids (bounded by the vocabulary), the code table, the blocks. Each document is coded
     before the shuffle, so that only coded bits move.
@@ -373,16 +375,16 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
                 marks, edge = local[nth % every == 0].astype("<i8").tobytes(), 8 * np.concatenate([[0], np.cumsum(lanes)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), part.column("part"), pa.array(sizes), pa.array(total),
+                        part.column("doc_id"), part.column("rank"), part.column("part"), pa.array(sizes), pa.array(total),
                         pa.array([bits[a : a + (t + 7) // 8] for a, t in zip(begin.tolist(), total.tolist())], pa.binary()),
                         pa.array([marks[a:z] for a, z in zip(edge.tolist(), edge[1:].tolist())], pa.binary()),
                         pa.array([zlib.crc32(x) for x in raw], pa.int64()),
                     ],
-                    names=["doc_id", "part", "n", "n_bits", "bits", "marks", "crc"],
+                    names=["doc_id", "rank", "part", "n", "n_bits", "bits", "marks", "crc"],
                 )
 
-    coded = tokens.mapInArrow(encode, "doc_id long, part int, n long, n_bits long, bits binary, marks binary, crc long")
-    ordered = coded.repartition(F.col("part")).sortWithinPartitions("part", "doc_id", "crc", "bits")
+    coded = tokens.mapInArrow(encode, "doc_id long, rank long, part int, n long, n_bits long, bits binary, marks binary, crc long")
+    ordered = coded.repartition(F.col("part")).sortWithinPartitions("part", "rank", "crc", "bits")
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, first, docs, held = None, 0, [], 0
@@ -395,7 +397,7 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
             return pd.DataFrame([{
                 "part": part, "first": first,
                 "docs": np.array([-1 if d[0] is None else d[0] for d in docs], "<i8").tobytes(),
-                "nulls": sum(d[0] is None for d in docs),
+                "nulls": np.packbits([d[0] is None for d in docs]).tobytes(),
                 "sizes": np.array([d[1] for d in docs], "<i8").tobytes(),
                 "marks": np.concatenate(marks).astype("<i8").tobytes(), "bits": b"".join(d[3] for d in docs), "n": held,
             }])
@@ -412,7 +414,7 @@ def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_id
         if docs:
             yield block()
 
-    blocks = ordered.mapInPandas(assemble, "part int, first long, docs binary, nulls int, sizes binary, marks binary, bits binary, n long")
+    blocks = ordered.mapInPandas(assemble, "part int, first long, docs binary, nulls binary, sizes binary, marks binary, bits binary, n long")
     blocks.write.option("compression", "none").parquet(f"{folder}/blocks")
     spark.createDataFrame([(json.dumps({"max_bits": max_bits, "every": every}),)], "about string").write.parquet(f"{folder}/about")
 
@@ -443,31 +445,48 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                 begin = (np.cumsum(lanes) - lanes) * every
                 at = starts[part] + first + np.cumsum(sizes) - sizes
                 yield pd.DataFrame({
-                    "doc_id": pd.array([None] * nulls + docs[nulls:].tolist(), "Int64"), "start": at, "n_tokens": sizes,
+                    "doc_id": pd.arrays.IntegerArray(docs.copy(), np.unpackbits(np.frombuffer(nulls, np.uint8), count=len(docs)).astype(bool)),
+                    "start": at, "n_tokens": sizes,
                     "ids": [flat[s : s + n].astype("<u4").tobytes() for s, n in zip(begin.tolist(), sizes.tolist())],
                 })
 
     return blocks.drop("n").mapInPandas(decode, "doc_id long, start long, n_tokens long, ids binary")
 
 
-def range_bounds(docs: DataFrame, parts: int) -> list[int]:
-    """Upper bounds that deal ``doc_id`` into ascending ranges of about equal numbers of rows; reads that column alone."""
+def range_bounds(docs: DataFrame, parts: int, order: str = "doc_id") -> list[int]:
+    """Upper bounds that deal ``order`` into ascending ranges of about equal numbers of rows; reads that column alone."""
     if parts < 2:
         return []
-    cuts = docs.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / parts for i in range(1, parts)], 0.2 / parts)
+    cuts = docs.select(F.col(order).cast("double").alias("d")).approxQuantile("d", [i / parts for i in range(1, parts)], 0.2 / parts)
     return sorted({int(c) for c in cuts})
 
 
-def token_file(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 2) -> DataFrame:
-    """Tokenizes, writes the file format, reads it back: rows (doc_id, start, n_tokens, ids)."""
+def token_file(docs: DataFrame, tokenizer: str, folder: str | None = None, end_id: int = 2, order: str = "doc_id") -> DataFrame:
+    """Tokenizes, writes the file format in ascending ``order``, reads it back: rows (doc_id, start, n_tokens, ids)."""
     spark = docs.sparkSession
     folder = folder or f"{run_root(spark)}/token_ids/{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tokens = stored(tokenize(docs, tokenizer, end_id, range_bounds(docs, parts)))
+    tokens = stored(tokenize(docs, tokenizer, end_id, range_bounds(docs, parts, order), order))
     write_ids(tokens, folder)
     return read_ids(spark, folder)
 
 
+def with_place(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with the place of each row in its table's files, and that column's name; ``doc_id`` if it is no table of files.
+
+    A range-sorted table is written in the order of its files, so the place has that order: the file's number and the row in it.
+    """
+    name = "_place"
+    while name in docs.columns:
+        name = "_" + name
+    number = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1)
+    place = F.when(number != "", number.cast("long") * F.lit(1 << 40) + F.col("_metadata.row_index"))
+    try:
+        return docs.withColumn(name, place), name
+    except AnalysisException:
+        return docs, "doc_id"
+
+
 def digest(rows: DataFrame) -> DataFrame:
     """Per document the unsigned CRC-32 of its ids as little-endian 32-bit integers."""
     return rows.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -480,7 +499,11 @@ def op8_token_ids(spark: SparkSession, root: str, tokenizer: str | None = None)
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
-    """Last stage of the pipeline: every row of ``docs`` as token ids, read back from the file format."""
+    """Last stage of the pipeline: every row of ``docs`` as token ids, read back from the file format.
+
+    The stage before writes its mix sorted by training position; the ids are written in that order.
+    """
     import public_tokenizers
 
-    return token_file(docs, public_tokenizers.path("byte_bpe_50k.json")).select("doc_id", "start", "n_tokens", "ids")
+    rows, order = with_place(docs)
+    return token_file(rows, public_tokenizers.path("byte_bpe_50k.json"), order=order).select("doc_id", "start", "n_tokens", "ids")

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 from llm_cases import none  # noqa: F401  fixtures
 
 import corpus_pipeline
-from bazaarmill.llm import curriculum, decontaminate, langid, simhash
+from bazaarmill.llm import curriculum, decontaminate, langid, simhash, tokenids
 from bazaarmill.llm.common import read
 
 
@@ -58,3 +58,23 @@ def test_stages_take_empty_tables(spark, none):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, DATA)
         assert out.count() == 0
+
+
+def test_ids_are_written_in_training_order(spark):
+    """The mix is a table sorted by training position; the token file keeps that order."""
+    docs = read(spark, DATA, "documents")
+    mixed = corpus_pipeline.stored(curriculum.curriculum_stage(spark, docs, DATA))
+    rows, name = tokenids.with_place(mixed)
+    assert name == "_place"
+    want = [r["doc_id"] for r in rows.orderBy(name).collect()]
+    assert want != sorted(want)
+    # the place has the order of the training positions
+    cols = [f"`{c}`" for c in docs.columns]
+    assert want == [r["doc_id"] for r in curriculum.curriculum_stage(spark, docs, DATA).select(*cols).collect()]
+    ids = tokenids.token_stage(spark, mixed, DATA).collect()
+    assert [r["doc_id"] for r in sorted(ids, key=lambda r: r["start"])] == want
+
+
+def test_place_without_files(spark, none):
+    docs = none.select("doc_id", "text")
+    assert tokenids.with_place(docs) == (docs, "doc_id")
