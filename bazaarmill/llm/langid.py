@@ -33,13 +33,16 @@ PER_LANGUAGE = 4_000
 SHARPNESS = 12.0
 #: Share of the score that a second codeword must stay under.
 CLOSE = 0.4
+LETTERS = re.compile(r"[^\W\d_]+")
 #: Signs such as ½, ② and Ⅷ are no letters, though ``\w`` has them.
-NUMERALS = "".join(c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("No", "Nl"))
-LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
+NUMERALS = {c: " " for c in range(0x110000) if unicodedata.category(chr(c)) in ("No", "Nl")}
+SIGNS = frozenset(map(chr, NUMERALS))
 
 
 def grams(text: str | None) -> np.ndarray:
     """Numbers below ``GRAMS`` of the byte trigrams of the lower-cased letter runs; empty without letters."""
+    if text and not text.isascii() and not SIGNS.isdisjoint(text):
+        text = text.translate(NUMERALS)
     runs = LETTERS.findall(text.lower()) if text else []
     if not runs:
         return np.zeros(0, np.int64)
