@@ -497,22 +497,25 @@ def layout_key(url: str | None, wrapper: list) -> int | None:
     return digest(f"{host}\n{layout(wrapper)}") if host else None
 
 
-def survey(pages: DataFrame) -> DataFrame:
-    """Rows (layout, wrapper, pages): the distinct shapes of each layout of a host."""
+def with_layout(pages: DataFrame) -> DataFrame:
+    """Adds the number of the page's layout (null without a host) and its shape as JSON."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            shapes: dict = {}
-            for url, page in zip(b["url"], b["html"]):
-                w = shape(page)
-                key = layout_key(url, w)
-                if key is not None:
-                    s = json.dumps(w, separators=(",", ":"))
-                    shapes[key, s] = shapes.get((key, s), 0) + 1
-            yield pd.DataFrame([(*k, n) for k, n in shapes.items()], columns=["layout", "wrapper", "pages"])
+    @F.pandas_udf("layout long, shape string")
+    def read_shape(url: pd.Series, page: pd.Series) -> pd.DataFrame:
+        rows = []
+        for u, p in zip(url, page):
+            w = shape(p) if host_of(u) else None
+            rows.append((None, None) if w is None else (layout_key(u, w), json.dumps(w, separators=(",", ":"))))
+        return pd.DataFrame({"layout": pd.array([r[0] for r in rows], "Int64"), "shape": [r[1] for r in rows]})
+
+    found = pages.withColumn("_found", read_shape("url", "html"))
+    return found.select(*pages.columns, F.col("_found.layout").alias("_layout"), F.col("_found.shape").alias("_shape"))
 
-    rows = pages.select("url", "html").mapInPandas(run, "layout long, wrapper string, pages long")
-    return rows.groupBy("layout", "wrapper").agg(F.sum("pages").alias("pages"))
+
+def survey(pages: DataFrame) -> DataFrame:
+    """Rows (layout, wrapper, pages): the distinct shapes of each layout of a host, from pages ``with_layout``."""
+    rows = pages.where("_layout is not null").groupBy(F.col("_layout").alias("layout"), F.col("_shape").alias("wrapper"))
+    return rows.agg(F.count("*").alias("pages"))
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
@@ -531,14 +534,6 @@ def wrappers(pages: DataFrame) -> DataFrame:
             return merged
 
 
-def with_layout(pages: DataFrame) -> DataFrame:
-    @F.pandas_udf("long")
-    def key(url: pd.Series, page: pd.Series) -> pd.Series:
-        return pd.Series([layout_key(u, shape(p)) if host_of(u) else None for u, p in zip(url, page)], dtype="Int64")
-
-    return pages.withColumn("_layout", key("url", "html"))
-
-
 def text_counts(pages: DataFrame, known: DataFrame) -> DataFrame:
     """Rows (layout, slot, text, pages, chars): on how many distinct pages of a layout each text stands in each slot; slot -1 has the layout's pages."""
 
@@ -561,7 +556,7 @@ def text_counts(pages: DataFrame, known: DataFrame) -> DataFrame:
                 rows += [(key, *at, own, n) for at, n in seen.items()]
             yield pd.DataFrame(rows, columns=["layout", "slot", "text", "page", "chars"])
 
-    rows = with_layout(pages.select("url", "html")).where("_layout is not null").join(known.select(F.col("layout").alias("_layout"), "wrapper"), "_layout")
+    rows = pages.select("_layout", "html").where("_layout is not null").join(known.select(F.col("layout").alias("_layout"), "wrapper"), "_layout")
     found = rows.select("_layout", "html", "wrapper").mapInPandas(run, "layout long, slot int, text long, page long, chars long")
     return found.groupBy("layout", "slot", "text").agg(F.count_distinct("page").alias("pages"), F.sum("chars").alias("chars"))
 
@@ -594,6 +589,7 @@ def classified(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """Rows (page_id, url, text), one for each page."""
+    pages = stored(with_layout(pages.select("page_id", "url", "html")))  # each page is taken apart once for its shape, not once per step
     known = stored(classified(pages)).select(F.col("layout").alias("_layout"), F.to_json(F.struct("wrapper", "kept", "template")).alias("_known"))
 
     @F.pandas_udf("string")
@@ -607,7 +603,7 @@ def extract(pages: DataFrame) -> DataFrame:
             out.append(read_page(p, *memo[k]))
         return pd.Series(out, dtype=object)
 
-    rows = with_layout(pages.select("page_id", "url", "html")).join(known, "_layout", "left")
+    rows = pages.select("page_id", "url", "html", "_layout").join(known, "_layout", "left")
     return rows.select("page_id", "url", read_text("html", "_known").alias("text"))
 
 
