@@ -10,7 +10,7 @@ so each text of a page has a slot, also where two slots lie under the same tags.
 names as navigation, advert, form, comment and so on are left out with all inside; of the others the main region is an article or main
 group, or else the group that holds most of the layout's text. A text that stands in one slot on at least ``CONSTANT`` distinct pages,
 and on most distinct pages of the layout, belongs to the template and is left out; so a boilerplate paragraph is told apart
-from its neighbours in a repeated group. ``extract`` reads a page again and keeps the other texts of the region. A page without
+from its neighbours in a repeated group. A class that only contains such a word does not bar a group with most of the text. ``extract`` reads a page again and keeps the other texts of the region. A page without
 text in its layout's region, or of no known host, is classified alone.
 
 For scale the streams are first reduced to their shapes, that is with runs collapsed and texts blanked; a layout has few distinct
@@ -73,6 +73,8 @@ OUT_WORDS = {
     "related", "recommended", "recommendations", "share", "sharing", "social", "comment", "comments", "commentlist", "respond", "replies", "reply", "disqus",
     "footer", "header", "masthead", "contentinfo", "login", "search", "pagination", "pager", "toolbar", "skip", "dialog", "hidden", "copyright", "disclaimer", "tags",
 }
+#: Those that stay out however much text they hold.
+REPLY_WORDS = {"comment", "comments", "commentlist", "respond", "replies", "reply", "disqus"}
 IN_TAGS = {"article", "main"}
 IN_WORDS = {"article", "main", "content", "post", "entry", "story", "articlebody", "main-content", "post-content", "entry-content", "article-body"}
 
@@ -91,12 +93,25 @@ def group_name(tag: str, attributes: str) -> str:
     return ".".join([tag, *sorted(set(kinds))])
 
 
-def out_of_text(name: str, inside: bool) -> bool:
-    """If a group is by its name no main text. The header of an article is part of it, unless a class says otherwise."""
+def out_strength(name: str, inside: bool) -> int:
+    """If a group is by its name no main text: 2 by its tag, a whole class or a word for comments, 1 by a word within a class, else 0.
+
+    The header of an article is part of it, unless a class says otherwise.
+    """
     tag, *kinds = name.split(".")
     if tag in OUT_TAGS and not (tag == "header" and inside):
-        return True
-    return tag not in ("html", "body") and any(k in OUT_WORDS or any(w in OUT_WORDS for w in re.split(r"[-_]+", k)) for k in kinds if k not in IN_WORDS)
+        return 2
+    if tag in ("html", "body"):
+        return 0
+    kinds = [k for k in kinds if k not in IN_WORDS]
+    if any(k in OUT_WORDS for k in kinds):
+        return 2
+    words = {w for k in kinds for w in re.split(r"[-_]+", k)} & OUT_WORDS
+    return 2 if words & REPLY_WORDS else 1 if words else 0
+
+
+def out_of_text(name: str, inside: bool) -> bool:
+    return out_strength(name, inside) > 0
 
 
 def into_text(name: str) -> bool:
@@ -309,13 +324,32 @@ def paths(wrapper: list, above: tuple = ()) -> Iterator[tuple[str, ...]]:
             yield from paths(inner, (*above, name))
 
 
-def barred(p: tuple[str, ...]) -> bool:
-    return any(out_of_text(x, any(into_text(y) for y in p[:k])) for k, x in enumerate(p))
+def barred(p: tuple[str, ...], heavy: frozenset = frozenset(), least: int = 1) -> bool:
+    """If a group on the path is no main text by a name of strength ``least`` or more; ``heavy`` groups are not judged by weak names."""
+    for k, x in enumerate(p):
+        strength = out_strength(x, any(into_text(y) for y in p[:k]))
+        if strength >= max(least, 2 if p[: k + 1] in heavy else 1):
+            return True
+    return False
+
+
+def heavy_groups(known: dict, mass: dict) -> frozenset:
+    """Groups that hold more than half of the text outside strongly barred groups: a word in their class does not make them an advert."""
+    weight: dict[tuple[str, ...], int] = {}
+    total = 0
+    for s, path in known.items():
+        n = mass.get(s, 0)
+        if n and not barred(path, least=2):
+            total += n
+            for k in range(1, len(path) + 1):
+                weight[path[:k]] = weight.get(path[:k], 0) + n
+    return frozenset(p for p, n in weight.items() if 2 * n > total)
 
 
 def region_of(known: dict, mass: dict) -> list:
     """Of slots with their paths those of the main region; ``mass`` has the characters of each."""
-    left = [s for s in sorted(known) if not barred(known[s])]
+    heavy = heavy_groups(known, mass)
+    left = [s for s in sorted(known) if not barred(known[s], heavy)]
     for wanted in (lambda x: x.split(".")[0] == "article", lambda x: x.split(".")[0] == "main", into_text):
         region = [s for s in left if any(wanted(x) for x in known[s])]
         if region:
@@ -373,6 +407,7 @@ class Slots:
     def __init__(self, wrapper: list):
         self.path: dict[int, tuple[str, ...]] = {}
         self.top = self.numbered(wrapper, ())
+        self.out = {s for s, p in self.path.items() if barred(p, least=2)}
 
     def numbered(self, wrapper: list, above: tuple[str, ...]) -> list:
         out = []
@@ -550,7 +585,7 @@ def text_counts(pages: DataFrame, known: DataFrame) -> DataFrame:
                 rows.append((key, -1, 0, own, 0))
                 seen: dict = {}
                 for slot, texts in slots_of.match(tree(page)):
-                    if slot >= 0 and not barred(slots_of.path[slot]) and (text := slot_text(texts)):
+                    if slot >= 0 and slot not in slots_of.out and (text := slot_text(texts)):
                         at = slot, digest(text)
                         seen[at] = seen.get(at, 0) + len(text)
                 rows += [(key, *at, own, n) for at, n in seen.items()]

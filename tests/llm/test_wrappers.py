@@ -63,3 +63,26 @@ def test_deep_nesting(spark, deep):
     got = {r["page_id"]: r["text"] for r in w.extract(df).collect()}
     assert all(got[i].endswith("the deep text") for i in range(3))
     assert got[3] == "alone"
+
+
+BODY = "<h1>Title</h1><p>The main body of this page is here.</p><p>And it goes on for a while, longer than all the rest.</p>"
+SMALL = "<nav>Home</nav><div class='side-box'>small print</div>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<body>{SMALL}<div class='search-results-study'>{BODY}</div></body>",
+    f"<body>{SMALL}<table class='menu-layout'><tr><td>{BODY}</td></tr></table></body>",
+    f"<body>{SMALL}<div class='tags-page'><div class='social-science'>{BODY}</div></div></body>",
+])
+def test_words_within_classes_do_not_bar_the_main_text(spark, page):
+    want = "Title The main body of this page is here. And it goes on for a while, longer than all the rest."
+    assert w.alone(page) == want
+    pages = [(i, f"http://h.example/{i}", page.replace("main body", f"main body {i} {'x' * i}")) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in w.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i in range(8):
+        assert f"The main body {i} {'x' * i} of" .replace("  ", " ") in got[i] and "Home" not in got[i] and "small print" not in got[i]
+
+
+def test_comments_stay_out_however_long():
+    page = f"<body><article>{BODY}<div class='comment-thread'>{'<p>I have much to say about that.</p>' * 50}</div></article></body>"
+    assert "much to say" not in w.alone(page) and "main body" in w.alone(page)
