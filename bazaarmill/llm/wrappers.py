@@ -2,7 +2,8 @@
 
 Pages are token streams: opening and closing block tags with their classes, and text. ``infer`` aligns the streams of one
 layout of a host two by two. Where they agree a tag stays; where they do not, the odd one becomes an optional group, a run of like
-groups becomes one repeated group, and texts become slots. The result is a regular expression without alternatives, the wrapper.
+groups becomes one repeated group, a sequence of siblings that comes again and again becomes a repeated group of them, and
+texts become slots. The result is a regular expression without alternatives, the wrapper.
 Pages of a host have one layout if their containers that may hold main text are nested alike (``layout``).
 
 ``Slots`` numbers the slots of a wrapper by their position in it, and matches a page's groups against the wrapper in order:
@@ -10,8 +11,9 @@ so each text of a page has a slot, also where two slots lie under the same tags.
 names as navigation, advert, form, comment and so on are left out with all inside; of the others the main region is an article or main
 group, or else the group that holds most of the layout's text. A text that stands in one slot on at least ``CONSTANT`` distinct pages,
 and on most distinct pages of the layout, belongs to the template and is left out; so a boilerplate paragraph is told apart
-from its neighbours in a repeated group. A class that only contains such a word does not bar a group with most of the text. ``extract`` reads a page again and keeps the other texts of the region. A page without
-text in its layout's region, or of no known host, is classified alone.
+from its neighbours in a repeated group. A class that only contains such a word does not bar a group with most of the text.
+``extract`` reads a page again and keeps the other texts of the region. A page without text in its layout's region, or of no
+known host, is classified alone.
 
 For scale the streams are first reduced to their shapes, that is with runs collapsed and texts blanked; a layout has few distinct
 shapes. They are merged in groups of at most about ``FAN``, level by level, until a layout has one wrapper. Statistics of slots
@@ -24,6 +26,7 @@ the template and give equal rows; an empty table gives no rows; other columns ar
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import json
 import re
@@ -38,7 +41,13 @@ FAN = 32
 #: Distinct pages on which a slot must have the same text to belong to the template, if they are most of the layout's.
 CONSTANT = 5
 #: Levels of nesting that a wrapper tells apart.
-DEEP = 100
+DEEP = 60
+#: Longest sequence of different siblings that is looked for as a repeated one, and what its group's name starts with.
+PERIOD = 6
+SEQUENCE = "+"
+#: Pairs of siblings up to which the best alignment of two lists is looked for, and how far a name is looked for beyond.
+TABLE = 250_000
+NEAR = 64
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -254,18 +263,62 @@ def tree(page: str | None) -> list:
 
 def shape(page: str | None) -> list:
     """The page as a wrapper of its own: runs of like groups collapsed, texts blanked."""
-    return collapse(blank(tree(page)))
+    return collapse(blank(tree(page)), page=True)
 
 
 def blank(groups: list) -> list:
     return [[name, repeated, optional, [] if name == "#" else blank(inner)] for name, repeated, optional, inner in groups]
 
 
-def collapse(groups: list) -> list:
-    """Runs of groups with one name become a repeated group; a run's members are aligned with each other."""
+def periods(names: list[str]) -> Iterator[tuple[int, int, int]]:
+    """Cuts a list of names, no two neighbours alike, into (start, length, times): sequences that follow each other at least twice, else single names."""
+    i, n = 0, len(names)
+    while i < n:
+        for d in range(2, PERIOD + 1):
+            m = i
+            while m + d < n and names[m] == names[m + d]:
+                m += 1
+            if m - i >= d:
+                times = (m - i) // d + 1
+                yield i, d, times
+                i += d * times
+                break
+        else:
+            yield i, 1, 1
+            i += 1
+
+
+def folded(groups: list) -> list:
+    """Siblings with sequences that come again put into groups of their own, named by the sequence after ``SEQUENCE``."""
+    if len(groups) < 4:
+        return groups
+    runs: list[list] = []
+    for g in groups:
+        if runs and runs[-1][0][0] == g[0]:
+            runs[-1].append(g)
+        else:
+            runs.append([g])
+    if len(runs) < 4:
+        return groups
     out: list = []
-    for name, repeated, optional, inner in groups:
-        inner = collapse(inner)
+    for start, d, times in periods([r[0][0] for r in runs]):
+        if d == 1:
+            out += runs[start]
+            continue
+        name = SEQUENCE + " ".join(r[0][0] for r in runs[start : start + d])
+        for k in range(times):
+            out.append([name, False, False, [g for r in runs[start + k * d : start + (k + 1) * d] for g in r]])
+    return out
+
+
+def collapse(groups: list, page: bool = False) -> list:
+    """Runs of groups with one name become a repeated group; a run's members are aligned with each other.
+
+    Sequences are looked for in a ``page`` only, and by ``match`` in the same way: so each page's groups occur in its wrapper.
+    """
+    out: list = []
+    for name, repeated, optional, inner in folded(groups) if page else groups:
+        inner = collapse(inner, page)
         if out and out[-1][0] == name:
             a = out[-1]
             out[-1] = [name, name != "#", a[2] and optional, align(a[3], inner)]
@@ -274,26 +327,47 @@ def collapse(groups: list) -> list:
     return out
 
 
-def align(a: list, b: list) -> list:
-    """The two lists of groups as one: like groups in order are matched, all others are optional."""
-    if a == b:
-        return a
+def in_order(a: list[str], b: list[str]) -> list[tuple[int, int]]:
+    """Pairs of like names in ascending order: the most there are, or for lists beyond ``TABLE`` each name's next place."""
     n, m = len(a), len(b)
+    pairs, i, j = [], 0, 0
+    if n * m > TABLE:
+        places: dict[str, list[int]] = {}
+        for k, name in enumerate(b):
+            places.setdefault(name, []).append(k)
+        for i, name in enumerate(a):
+            own = places.get(name, [])
+            k = bisect.bisect_left(own, j)
+            if k < len(own) and own[k] - j <= i - (pairs[-1][0] if pairs else -1) + NEAR:
+                pairs.append((i, own[k]))
+                j = own[k] + 1
+        return pairs
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if a[i][0] == b[j][0] else max(best[i + 1][j], best[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and a[i][0] == b[j][0]:
-            out.append([a[i][0], a[i][1] or b[j][1], a[i][2] or b[j][2], align(a[i][3], b[j][3])])
+            best[i][j] = best[i + 1][j + 1] + 1 if a[i] == b[j] else max(best[i + 1][j], best[i][j + 1])
+    i = j = 0
+    while i < n and j < m:
+        if a[i] == b[j]:
+            pairs.append((i, j))
             i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append([a[i][0], a[i][1], True, a[i][3]])
+        elif best[i + 1][j] >= best[i][j + 1]:
             i += 1
         else:
-            out.append([b[j][0], b[j][1], True, b[j][3]])
             j += 1
+    return pairs
+
+
+def align(a: list, b: list) -> list:
+    """The two lists of groups as one: like groups in order are matched, all others are optional."""
+    if a == b:
+        return a
+    out, i, j = [], 0, 0
+    for x, y in [*in_order([g[0] for g in a], [g[0] for g in b]), (len(a), len(b))]:
+        out += [[g[0], g[1], True, g[3]] for g in (*a[i:x], *b[j:y])]
+        if x < len(a):
+            out.append([a[x][0], a[x][1] or b[y][1], a[x][2] or b[y][2], align(a[x][3], b[y][3])])
+        i, j = x + 1, y + 1
     return collapse(out)
 
 
@@ -321,7 +395,7 @@ def paths(wrapper: list, above: tuple = ()) -> Iterator[tuple[str, ...]]:
         if name == "#":
             yield above
         else:
-            yield from paths(inner, (*above, name))
+            yield from paths(inner, above if name[0] == SEQUENCE else (*above, name))
 
 
 def barred(p: tuple[str, ...], heavy: frozenset = frozenset(), least: int = 1) -> bool:
@@ -416,20 +490,25 @@ class Slots:
                 self.path[len(self.path)] = above
                 out.append((name, len(self.path) - 1))
             else:
-                out.append((name, self.numbered(inner, (*above, name))))
+                out.append((name, self.numbered(inner, above if name[0] == SEQUENCE else (*above, name))))
         return out
 
     def match(self, groups: list) -> Iterator[tuple[int, list]]:
         """(slot, texts) of each slot of a page's groups in order; -1 where the wrapper has none."""
+        return ((slot, texts) for slot, texts, _ in self.located(groups))
+
+    def located(self, groups: list) -> Iterator[tuple[int, list, tuple[str, ...]]]:
+        """``match`` with the path of each slot."""
         memo: dict = {}
 
         def choose(groups: list, nodes: list) -> tuple[int, list]:
             """The most slots that groups and nodes match in order, and each run of like groups with its node."""
             key = id(groups), id(nodes)
             if key in memo:
-                return memo[key]
+                return memo[key][:2]
             runs: list = []
-            for g in groups:
+            whole = folded(groups)
+            for g in whole:
                 if runs and runs[-1][0][0] == g[0]:
                     runs[-1].append(g)
                 else:
@@ -437,8 +516,17 @@ class Slots:
             at = {name: k for k, (name, _) in enumerate(nodes)}
             own = [at.get(r[0][0]) for r in runs]
             if len(at) == len(nodes) and None not in own and all(x < y for x, y in zip(own, own[1:])):
-                memo[key] = sum(score(r, nodes[k]) for r, k in zip(runs, own)), [(r, nodes[k]) for r, k in zip(runs, own)]
-                return memo[key]
+                pairs = [(r, nodes[k]) for r, k in zip(runs, own)]
+            elif len(runs) * len(nodes) > TABLE:
+                met = dict(in_order([r[0][0] for r in runs], [name for name, _ in nodes]))
+                pairs = [(r, nodes[met[i]] if i in met else None) for i, r in enumerate(runs)]
+            else:
+                pairs = best_pairs(runs, nodes)
+            # what was made here is kept, for its identity is a key
+            memo[key] = sum(score(r, node) for r, node in pairs if node is not None), pairs, whole
+            return memo[key][:2]
+
+        def best_pairs(runs: list, nodes: list) -> list:
             n, m = len(runs), len(nodes)
             best = [[0] * (m + 1) for _ in range(n + 1)]
             hit: dict = {}
@@ -458,22 +546,21 @@ class Slots:
                 else:
                     out.append((runs[i], None))
                     i += 1
-            memo[key] = best[0][0], out
-            return memo[key]
+            return out
 
         def score(run: list, node: tuple) -> int:
             return len(run) if node[0] == "#" else sum(choose(g[3], node[1])[0] for g in run)
 
-        def place(groups: list, nodes: list) -> Iterator[tuple[int, list]]:
+        def place(groups: list, nodes: list, path: tuple) -> Iterator[tuple[int, list, tuple]]:
             for run, node in choose(groups, nodes)[1]:
                 for g in run:
                     if g[0] == "#":
-                        yield -1 if node is None else node[1], g[3]
+                        yield -1 if node is None else node[1], g[3], path
                     else:
-                        yield from place(g[3], nothing if node is None else node[1])
+                        yield from place(g[3], nothing if node is None else node[1], path if g[0][0] == SEQUENCE else (*path, g[0]))
 
         nothing: list = []
-        yield from place(groups, self.top)
+        yield from place(groups, self.top, ())
 
 
 def host_of(url: str | None) -> str:
@@ -518,9 +605,13 @@ def slot_text(texts: list[tuple[str, int]]) -> str:
 
 
 def read_page(page: str | None, known: Slots | None, kept: set[int], template: set[tuple[int, int]]) -> str:
-    """The page's texts in kept slots without the template's, or what ``alone`` gives if those slots have no text here."""
+    """The page's texts in kept slots without the template's, or what ``alone`` gives if those slots have no text here.
+
+    A text that the wrapper has no slot for goes by its path.
+    """
     if known is not None:
-        region = [(slot, texts) for slot, texts in known.match(tree(page)) if slot in kept]
+        places = {known.path[s] for s in kept}
+        region = [(slot, texts) for slot, texts, path in known.located(tree(page)) if slot in kept or slot < 0 and path in places]
         if any(slot_text(texts) for _, texts in region):
             return joined(x for slot, texts in region if not template or (slot, digest(slot_text(texts))) not in template for x in texts)
     return alone(page)

@@ -86,3 +86,55 @@ def test_words_within_classes_do_not_bar_the_main_text(spark, page):
 def test_comments_stay_out_however_long():
     page = f"<body><article>{BODY}<div class='comment-thread'>{'<p>I have much to say about that.</p>' * 50}</div></article></body>"
     assert "much to say" not in w.alone(page) and "main body" in w.alone(page)
+
+
+def page_of(n, extra="", lead=""):
+    blocks = "".join(f"<h2>Part {i}</h2><p>Text {i} of it.</p>" + "<p>More.</p>" * (i % 3) for i in range(n))
+    return f"<html><body><nav>menu</nav><main>{lead}{blocks}{extra}</main></body></html>"
+
+
+def test_sequences_of_siblings_become_one_group():
+    assert list(w.periods(["a", "b", "a", "b", "c"])) == [(0, 2, 2), (4, 1, 1)]
+    assert list(w.periods(["c", "a", "b", "d", "a", "b", "d", "a", "b"])) == [(0, 1, 1), (1, 3, 2), (7, 1, 1), (8, 1, 1)]
+    assert list(w.periods(["a", "b", "a"])) == [(0, 1, 1), (1, 1, 1), (2, 1, 1)]
+    few, many = w.shape(page_of(5)), w.shape(page_of(900))
+    assert len(w.expression(many)) < 3 * len(w.expression(few))
+    assert "<+h2 p>" in w.expression(few)
+
+
+def test_long_pages_of_short_blocks_take_linear_time(spark):
+    import time
+
+    def took(n):
+        start = time.time()
+        pair = [w.shape(page_of(n)), w.shape(page_of(n, "<ul><li>x</li></ul>" * 2, "<p>lead</p>"))]
+        known = w.Slots(w.infer(pair))
+        found = list(known.match(w.tree(page_of(n))))
+        assert len(found) >= 2 * n and all(s >= 0 for s, *_ in found)
+        return time.time() - start
+
+    took(100)
+    assert took(8000) < 25 * max(took(1000), 0.05)
+
+
+def test_irregular_long_pages_keep_their_text(spark):
+    import random
+
+    rng = random.Random(5)
+
+    def page(k):
+        return "<html><body><nav>menu</nav><main>" + "".join(f"<{t}>{t} {i} {k}</{t}>" for i, t in enumerate(rng.choices(["h2", "p", "blockquote", "pre"], k=1500))) + "</main></body></html>"
+
+    pages = [(k, f"http://h.example/{k}", page(k)) for k in range(6)]
+    got = {r["page_id"]: r["text"] for r in w.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for k, _, p in pages:
+        want = " ".join(re.sub("<[^>]+>", " ", p.split("<main>")[1]).split())
+        assert got[k] == want
+
+
+def test_sequences_do_not_change_the_text(spark):
+    pages = [(i, f"http://h.example/{i}", page_of(n, x, y)) for i, (n, x, y) in enumerate([(1, "", ""), (2, "", ""), (7, "<ul><li>u</li></ul>", ""), (30, "", "<p>lead</p>"), (8, "<h2>end</h2>", "<h2>start</h2>")])]
+    got = {r["page_id"]: r["text"] for r in w.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, _, p in pages:
+        want = " ".join(html.unescape(re.sub("<[^>]+>", " ", p.split("<main>")[1])).split())
+        assert got[i] == want
