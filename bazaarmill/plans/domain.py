@@ -29,6 +29,14 @@ def money(cents: str) -> str:
     return f"({dbl(cents)} / 100)"
 
 
+def year_calendar(t, table: str, column: str) -> DataFrame:
+    """Calendar of the years of a table's dates, made and stored once for all plans that are built on ``t``."""
+    made = t.__dict__.setdefault("_calendars", {})
+    if (table, column) not in made:
+        made[table, column] = freeze(calendar_for(getattr(t, table), column, EVERY_YEAR))
+    return made[table, column]
+
+
 # Draws and picks
 
 SEGMENT_WEIGHTS = (("Tops", 25), ("Bottoms", 30), ("Outerwear", 15), ("Activewear", 20), ("Dresses", 10))
@@ -225,14 +233,14 @@ def scored_items(t) -> DataFrame:
 
 
 def dated_items(t) -> DataFrame:
-    cal = calendar_for(t.lineitem, "l_shipdate", EVERY_YEAR)
+    cal = year_calendar(t, "lineitem", "l_shipdate")
     days = F.when(F.col("fast"), draw_col("days-fast", 41, "l_row") + 5).otherwise(draw_col("days", 81, "l_row") + 10)
     year_end = F.make_date(F.year("l_date"), F.lit(12), F.lit(31))
     return pricing.assign_sale_date(scored_items(t), "l_date", days, cal, "will_sell", year_end)
 
 
 def discounted_items(t) -> DataFrame:
-    cal = calendar_for(t.lineitem, "l_shipdate", EVERY_YEAR)
+    cal = year_calendar(t, "lineitem", "l_shipdate")
     as_of = cal.agg(F.max("full_date")).scalar()
     last_sale = cal.filter("is_sale").agg(F.max("full_date")).scalar()
     return pricing.age_discount(
@@ -422,17 +430,17 @@ def expense_columns(src: str) -> str:
 
 @query("recurring_expenses", expense_columns(RECURRING))
 def recurring_expenses(t):
-    return expenses.recurring_expenses(t.supplier_spread, "s_suppkey", calendar_for(t.orders, "o_orderdate", EVERY_YEAR))
+    return expenses.recurring_expenses(t.supplier_spread, "s_suppkey", year_calendar(t, "orders", "o_orderdate"))
 
 
 @query("monthly_variable_expense", expense_columns(MONTHLY))
 def monthly_variable_expense(t):
-    return expenses.monthly_variable(t.supplier_spread, "s_suppkey", calendar_for(t.orders, "o_orderdate", EVERY_YEAR))
+    return expenses.monthly_variable(t.supplier_spread, "s_suppkey", year_calendar(t, "orders", "o_orderdate"))
 
 
 @query("adhoc_expenses", expense_columns(ADHOC))
 def adhoc_expenses(t):
-    cal = calendar_for(t.orders, "o_orderdate", EVERY_YEAR)
+    cal = year_calendar(t, "orders", "o_orderdate")
     return expenses.adhoc_expenses(
         t.supplier_spread, "s_suppkey", cal, "Transport", (30, 40), expenses.TRANSPORT_BANDS, 100
     ).unionByName(expenses.adhoc_expenses(t.supplier_spread, "s_suppkey", cal, "Other", (40, 60), expenses.OTHER_BANDS, 40))
