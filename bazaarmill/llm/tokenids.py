@@ -19,6 +19,7 @@ that reads back as no rows; other input columns are ignored, whatever their name
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import itertools
 import json
@@ -70,14 +71,13 @@ class Pieces:
     TAIL = ".,;:!?*$%&#()\"-/"
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        kind = json.loads(self.tok.to_str())
-        self.added = [t["content"] for t in kind.get("added_tokens") or []]
+        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         # The short cut holds for byte-level vocabularies with the usual splitting into letters, digits and the rest.
-        split = kind.get("pre_tokenizer") or {}
-        self.direct = split.get("type") == "ByteLevel" and split.get("use_regex", True) and kind.get("normalizer") is None and not split.get("add_prefix_space")
+        split = self.tok.pre_tokenizer
+        self.direct = isinstance(split, pre_tokenizers.ByteLevel) and split.use_regex and not split.add_prefix_space and self.tok.normalizer is None
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.byte = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
@@ -218,6 +218,17 @@ def slices(batch, column: str, most: int = SLICE) -> Iterator:
         at = end
 
 
+def trim() -> None:
+    """Gives memory that is free in this worker back to the system, so that it doesn't hold it while it waits for other work."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int] = (), order: str = "doc_id") -> DataFrame:
     """Rows (doc_id, rank, part, ids): each text's ids and the end id as little-endian unsigned 32-bit integers.
 
@@ -239,6 +250,8 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 2, bounds: list[int]
                     [c.column("doc_id"), c.column("rank"), pa.array(part), pa.array([np.concatenate([x, end]).astype("<u4").tobytes() for x in ids], pa.binary())],
                     names=["doc_id", "rank", "part", "ids"],
                 )
+        del enc
+        trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(order).cast("long").alias("rank"), "text")
     return rows.mapInArrow(run, "doc_id long, rank long, part int, ids binary")
