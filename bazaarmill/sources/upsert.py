@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators.quality import Check, NotNull
 from ..session import freeze
 from . import storage
+from .guards import Guard, audit
 from .sinks import checked, one_per_key
 
 
@@ -46,14 +47,17 @@ def upsert(
     by: str,
     rules: Sequence[Check | NotNull] = (),
     moves: bool = True,
+    guard: Guard | None = None,
 ) -> list[object]:
     """Merges the batch into the table at ``path``, partitioned by ``by``; returns the partition values that were written.
 
-    ``moves=False`` promises that a key never changes its partition; the lookup of keys in untouched partitions is then left out.
+    ``guard`` may hold references; an orphan in the batch stops the merge. Keys are unique by the merge itself. ``moves=False`` promises that a key never changes its partition; the lookup of keys in untouched partitions is then left out.
     The partition values of a batch are collected: they are folders, not rows.
     """
     spark, names = batch.sparkSession, batch.columns
     new = freeze(checked(latest(batch, keys, version), batch.schema, rules))
+    if guard is not None:
+        audit(new, Guard(references=guard.references, parents=guard.parents))
     if not storage.exists(spark, path):
         new.hint("rebalance", F.col(by)).write.partitionBy(by).parquet(path)
         return sorted((r[by] for r in new.select(by).distinct().collect()), key=str)

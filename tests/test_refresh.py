@@ -99,6 +99,24 @@ def test_upsert_checks_rows_and_reads_only_touched_folders(spark, tmp_path):
     assert len(table(spark, path)) == 20
 
 
+def test_upsert_refuses_orphans(spark, tmp_path):
+    path = str(tmp_path / "items")
+    months = Guard(references=[ForeignKey("known month", "items", "month", "months", "m")], parents={"months": spark.createDataFrame([(1,), (2,)], "m int")})
+    upsert(spark.createDataFrame([(1, 1, 1, 5)], ITEM), path, ["id"], "version", "month", guard=months)
+    with pytest.raises(SetRuleViolated, match="known month"):
+        upsert(spark.createDataFrame([(1, 9, 2, 5)], ITEM), path, ["id"], "version", "month", guard=months)
+    assert table(spark, path) == [(1, 1, 1, 5)]
+
+
+def test_run_folder_can_be_dropped(spark):
+    from bazaarmill import session
+
+    frozen = session.freeze(spark.range(3))
+    assert frozen.count() == 3 and storage.exists(spark, session.run_root(spark))
+    other = spark.newSession()  # the folder belongs to the application
+    assert session.run_root(other) == session.run_root(spark)
+
+
 def test_latest_filters_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, 1, v, 0) for v in range(50)] + [(2, 1, 1, 3), (2, 1, 1, 4)], ITEM)
     out = latest(df, ["id"], "version")
