@@ -115,6 +115,7 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 if len(g) < 2:
                     continue
                 x = np.frombuffer(b"".join(g["vector"]), kind).reshape(len(g), int(dim)).astype(np.float64)
+                x = np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])  # by a power of two: exact, and squares stay in range
                 norm = np.sqrt((x * x).sum(1))
                 rep, size, own = g["rep"].to_numpy(), g["size"].to_numpy(), g["own"].to_numpy()
                 mine, other = np.flatnonzero(own == i), np.flatnonzero(own == j)

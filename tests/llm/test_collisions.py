@@ -61,3 +61,11 @@ def test_calibration():
 
 def test_empty(spark):
     assert c.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
+
+
+def test_extreme_numbers_link_like_any_other(spark):
+    rng = np.random.default_rng(8)
+    base, other = rng.standard_normal(16), rng.standard_normal(16)
+    rows = [(i, [float(v) for v in x * f], 1) for i, (x, f) in enumerate([(base, 1.0), (base, 1e200), (base, 1e-200), (base, 1e300), (other, 1e200), (other, 5e-290)])]
+    got = c.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == [(0, 3, 0), (1, 3, 0), (2, 3, 0), (3, 3, 0), (4, 1, 4), (5, 1, 4)]
