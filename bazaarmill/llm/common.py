@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 import zlib
 
@@ -22,6 +24,18 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept_in_worker(key: str, make):
+    """What ``make`` gives, made once in each Python worker and kept there for its next tasks, until another key is asked for.
+
+    Functions reach a worker by value with each task, so it is kept beside them, in a module of the worker's own.
+    """
+    place = sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker")).__dict__
+    if place.get("key") != key:
+        place.pop("value", None)
+        place["value"], place["key"] = make(), key
+    return place["value"]
+
+
 def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 

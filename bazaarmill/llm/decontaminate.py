@@ -7,8 +7,10 @@ document's words once and reports every occurrence of every pattern. Hits are ma
 the original text.
 
 Benchmarks are small by nature, but that is checked: items with more than ``most_words`` words in all are split into blocks
-by their id's hash, each with an automaton of its own, and the documents are scanned once for each block. Each scan's hits
-are kept as word ranges, and a document's ranges of all blocks are united.
+by their id's hash, each with an automaton of its own. Blocks come to the driver and to the workers one at a time: the documents
+are written once with a number for each, scanned once for each block, and the hits of a scan, which few documents have, are
+stored as word ranges. A document's ranges of all blocks are united. A worker builds the automaton of a block once and
+keeps it for its next tasks; at ``MOST_WORDS`` it holds about 190 MB.
 
 Cases: a null or empty text has no words, is not contaminated and matches nothing; equal items or windows count once for each
 item id; windows of items with a null id hit, but name no item; rows are judged alone, so repeated documents give equal rows;
@@ -18,16 +20,18 @@ with an empty benchmark nothing is hit; an empty table gives no rows; other colu
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import read, utf8
+from .common import kept_in_worker, read, stored, utf8
 
 WINDOW = 10
-MOST_WORDS = 2_000_000
+MOST_WORDS = 200_000
 
 #: Bytes that stand outside words become spaces, A-Z become a-z; bytes of characters beyond ASCII stay.
 TABLE = bytes(
@@ -41,7 +45,7 @@ def item_words(text: str | None) -> list[bytes]:
 
 
 class Automaton:
-    """Patterns of item words; built once in each worker from the items of one block."""
+    """Patterns of the item words of one block."""
 
     def __init__(self, items: list[tuple[int | None, str | None]], window: int):
         import ahocorasick
@@ -92,53 +96,78 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(place[a][0], place[b - 1][1]) for a, b in ranges]
 
 
-def item_blocks(benchmark: DataFrame, most_words: int) -> list[list[tuple[int | None, str | None]]]:
-    """The items in blocks of about ``most_words`` words, one driver-sized block at a time."""
+Items = list[tuple[int | None, str | None]]
+
+
+def item_blocks(benchmark: DataFrame, most_words: int) -> tuple[int, Iterator[Items]]:
+    """The number of blocks of about ``most_words`` words, and their items, one block on the driver at a time."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     total = items.agg(F.sum(F.length("text") / 2 + 1)).first()[0] or 0
     n = max(1, -(-int(total) // most_words))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[(r["item_id"], r["text"]) for r in items.where(block == k).distinct().collect()] for k in range(n)]
+    return n, ([(r["item_id"], r["text"]) for r in items.where(block == k).distinct().collect()] for k in range(n))
 
 
-def with_hits(docs: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW, most_words: int = MOST_WORDS) -> DataFrame:
-    """``docs`` and a column ``name``: struct(n_words, n_hit, items, spans); spans are character ranges of the original text.
+def scanner(spark: SparkSession, items: Items, window: int) -> Column:
+    """A column over the text: struct(n_words, ranges, items) under one block's automaton."""
+    shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex  # bounded by most_words
 
-    Rows stay where they are: the scan is a column over the text, one for each block of items.
-    """
-    spark = docs.sparkSession
+    @F.pandas_udf("n_words long, ranges array<long>, items array<long>")
+    def scanned(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        machine = kept_in_worker(key, lambda: Automaton(shared.value, window))
+        for b in texts:
+            rows = []
+            for text in b:
+                w = item_words(text)
+                hit, who = machine.scan(w)
+                rows.append((len(w), [x for r in hit for x in r], sorted(who)))
+            yield pd.DataFrame(rows, columns=["n_words", "ranges", "items"])
 
-    def scanner(part):
-        shared = spark.sparkContext.broadcast(part)  # bounded by most_words
+    return scanned("text")
 
-        @F.pandas_udf("n_words long, ranges array<long>, items array<long>")
-        def scanned(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            machine = Automaton(shared.value, window)
-            for b in texts:
-                rows = []
-                for text in b:
-                    w = item_words(text)
-                    hit, who = machine.scan(w)
-                    rows.append((len(w), [x for r in hit for x in r], sorted(who)))
-                yield pd.DataFrame(rows, columns=["n_words", "ranges", "items"])
 
-        return scanned("text")
+def placed(text: str, ranges: str) -> Column:
+    """A column: struct(n_hit, spans) of the united word ranges in a text."""
 
     @F.pandas_udf("n_hit long, spans array<long>")
-    def placed(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
+    def found(texts: pd.Series, ranges: pd.Series) -> pd.DataFrame:
         rows = []
-        for text, flat in zip(texts, ranges):
+        for t, flat in zip(texts, ranges):
             hit = unite([tuple(r) for r in np.reshape(flat, (-1, 2)).astype(int).tolist()])
-            rows.append((sum(b - a for a, b in hit), [x for s in original_spans(text, hit) for x in s] if hit else []))
+            rows.append((sum(b - a for a, b in hit), [x for s in original_spans(t, hit) for x in s] if hit else []))
         return pd.DataFrame(rows, columns=["n_hit", "spans"])
 
-    found = F.array(*[scanner(p) for p in item_blocks(benchmark, most_words)])
-    out = docs.withColumn(name, found)
-    where = placed("text", F.flatten(F.transform(name, lambda x: x["ranges"])))
-    return out.withColumn(f"{name}_at", where).withColumn(name, F.struct(
-        F.col(name)[0]["n_words"].alias("n_words"), F.col(f"{name}_at")["n_hit"].alias("n_hit"),
-        F.array_distinct(F.flatten(F.transform(name, lambda x: x["items"]))).alias("items"), F.col(f"{name}_at")["spans"].alias("spans"),
-    )).drop(f"{name}_at")
+    return found(text, ranges)
+
+
+def with_hits(docs: DataFrame, benchmark: DataFrame, name: str, window: int = WINDOW, most_words: int = MOST_WORDS) -> DataFrame:
+    """``docs`` and a column ``name``: struct(n_words, n_hit, items, spans); spans are character ranges of the original text.
+
+    With one block of items the scan is a column over the text, and rows stay where they are.
+    """
+    spark = docs.sparkSession
+    n, blocks = item_blocks(benchmark, most_words)
+    if n == 1:
+        found = docs.withColumn(name, scanner(spark, next(blocks), window))
+    else:
+        row = f"{name}_row"
+        numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()))  # written, so a row keeps its number
+        parts = []
+        for items in blocks:
+            scan = numbered.select(row, "text").withColumn(name, scanner(spark, items, window))
+            parts.append(stored(scan.where(F.size(f"{name}.ranges") > 0).select(row, f"{name}.ranges", f"{name}.items")))
+        hits = reduce(DataFrame.unionByName, parts).groupBy(row).agg(  # one row for each block that hits
+            F.flatten(F.collect_list("ranges")).alias(f"{name}_r"), F.array_distinct(F.flatten(F.collect_list("items"))).alias(f"{name}_i")
+        )
+        none = F.array().cast("array<long>")
+        words = scanner(spark, [], window)["n_words"]
+        found = numbered.join(hits, row, "left").withColumn(
+            name, F.struct(words.alias("n_words"), F.coalesce(f"{name}_r", none).alias("ranges"), F.coalesce(f"{name}_i", none).alias("items"))
+        ).drop(row, f"{name}_r", f"{name}_i")
+    at = f"{name}_at"
+    return found.withColumn(at, placed("text", f"{name}.ranges")).withColumn(name, F.struct(
+        F.col(f"{name}.n_words"), F.col(f"{at}.n_hit"), F.col(f"{name}.items"), F.col(f"{at}.spans"),
+    )).drop(at)
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most_words: int = MOST_WORDS) -> DataFrame:
@@ -150,7 +179,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, most_words
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, root: str) -> DataFrame:
     """Drops the documents in which a benchmark window occurs; all others stay as they are."""
     name = "_hits"
-    while name in docs.columns or f"{name}_at" in docs.columns:
+    while any(c.startswith(name) for c in docs.columns):
         name = "_" + name
     return with_hits(docs, read(spark, root, "benchmark"), name).where(F.col(name)["n_hit"] == 0).select(*[f"`{c}`" for c in docs.columns])
 

@@ -78,3 +78,25 @@ def test_stage_drops_only_hits(spark):
     bad = {r["doc_id"] for r in d.op4_decontaminate(spark, DATA).where("contaminated").collect()}
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in docs.collect()} - bad
+
+
+def test_blocks_come_one_at_a_time(spark, docs, rows, monkeypatch):
+    items = items_of(rows)
+    bench = spark.createDataFrame([(a, b) for a, b in items], "item_id long, text string")
+    n, blocks = d.item_blocks(bench, 40)
+    assert n >= 4
+    sizes = [len(x) for x in blocks]
+    assert len(sizes) == n and sum(sizes) == len({(a, b) for a, b in items if b is not None})
+    whole = d.with_hits(docs, bench, "_found").select("doc_id", "_found").collect()
+    split = d.with_hits(docs, bench, "_found", most_words=40).select("doc_id", "_found").collect()
+    plain_rows = lambda x: sorted(str((r["doc_id"], r["_found"]["n_words"], r["_found"]["n_hit"], sorted(r["_found"]["items"]), r["_found"]["spans"])) for r in x)
+    assert plain_rows(whole) == plain_rows(split)
+
+
+def test_an_automaton_is_built_once_in_a_worker(spark):
+    from bazaarmill.llm.common import kept_in_worker
+
+    made = []
+    for key in ("a", "a", "b", "b", "a"):
+        assert kept_in_worker(key, lambda k=key: made.append(k) or k) == key
+    assert made == ["a", "b", "a"]
