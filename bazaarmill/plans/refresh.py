@@ -20,13 +20,14 @@ SOLD_PRICE = "CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(12,2))"
 
 @query(
     "upsert_refresh",
-    f"""SELECT l_row, {MONTH} AS added_month, l_linestatus = 'F' AS is_sold, CASE WHEN l_linestatus = 'F' THEN {dbl(SOLD_PRICE)} END AS sale_price,
-    CASE WHEN l_linestatus = 'F' THEN 2 ELSE 1 END AS version FROM {LINEITEM}""",
+    f"""SELECT l_row, added_month, is_sold, sale_price, version FROM (SELECT *, row_number() OVER (PARTITION BY l_row ORDER BY version DESC, added_month DESC, sale_price DESC NULLS LAST) AS nth
+    FROM (SELECT l_row, {MONTH} AS added_month, l_linestatus = 'F' AS is_sold, CASE WHEN l_linestatus = 'F' THEN {dbl(SOLD_PRICE)} END AS sale_price,
+      CASE WHEN l_linestatus = 'F' THEN 2 ELSE 1 END AS version FROM {LINEITEM})) WHERE nth = 1""",
 )
 def upsert_refresh(t):
     """Items are loaded unsold, month by month; a later batch sells some, brings new ones and repeats stale versions of others.
 
-    The batch is loaded twice; only the months it changes are written, and the second time none.
+    The batch is loaded twice; only the months it changes are written, and the second time none. A line that occurs twice is one item.
     """
     path = sinks.run_folder(t.spark, "items_upsert")
     month = (F.year("l_date") * 100 + F.month("l_date")).alias("added_month")
@@ -39,13 +40,13 @@ def upsert_refresh(t):
         return df.select("l_row", "added_month", F.lit(sold).alias("is_sold"), price.alias("sale_price"), F.lit(version).alias("version"))
 
     first = state(rows.filter(F.col("l_date") <= F.lit(cut)), 1, False)
-    upsert(first, path, ["l_row"], "version", "added_month", moves=False)
+    upsert(first, path, ["l_row"], "version", "added_month")
     sold = state(rows.filter("l_linestatus = 'F'"), 2, True)
     fresh = state(rows.filter(F.col("l_date") > F.lit(cut)), 1, False)
     stale = state(rows.filter("l_linestatus = 'F'"), 0, False)
     batch = sold.unionByName(fresh).unionByName(stale)
     for _ in range(2):
-        upsert(batch, path, ["l_row"], "version", "added_month", moves=False)
+        upsert(batch, path, ["l_row"], "version", "added_month")
     return t.spark.read.schema(batch.schema).parquet(path)
 
 
