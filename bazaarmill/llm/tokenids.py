@@ -330,19 +330,31 @@ def pack(ids: np.ndarray, table: np.ndarray) -> tuple[bytes, np.ndarray, int]:
     return bits[: (int(total[0]) + 7) // 8], local, int(total[0])
 
 
-def unpack(bits: bytes, count: int, marks: np.ndarray, every: int, max_bits: int, table: np.ndarray) -> np.ndarray:
-    """The ids of a block: all checkpoints advance together, one id each a step. ``table`` has id * 64 + length."""
+def unpack_lanes(bits: bytes, marks: np.ndarray, lanes: np.ndarray, max_bits: int, table: np.ndarray) -> np.ndarray:
+    """The ids behind checkpoints ``marks``, ``lanes[i]`` from the i-th on, one after another. ``table`` has id * 64 + length.
+
+    All checkpoints advance together, one id each a step; the longest stand first, so those that are done drop off the end.
+    """
     raw = np.frombuffer(bits + b"\0" * (16 - len(bits) % 8), ">u8").astype(np.uint64)
-    out = np.empty((every, len(marks)), np.uint32)
-    at = marks.astype(np.int64).copy()
+    order = np.argsort(-lanes, kind="stable")
+    left, at = lanes[order], marks.astype(np.int64)[order]
+    place = (np.cumsum(lanes) - lanes)[order]
+    out = np.empty(int(lanes.sum()), np.uint32)
     mask, last = np.uint64((1 << max_bits) - 1), len(raw) - 2
-    for k in range(min(every, count)):
-        w, b = np.minimum(at >> 6, last), (at & 63).astype(np.uint64)
+    for k in range(int(left[0]) if len(left) else 0):
+        n = int(np.searchsorted(-left, -k, side="left"))  # those with more than k ids
+        w, b = np.minimum(at[:n] >> 6, last), (at[:n] & 63).astype(np.uint64)
         window = (raw[w] << b) | ((raw[w + 1] >> np.uint64(1)) >> (np.uint64(63) - b))
         found = table[(window >> np.uint64(64 - max_bits)) & mask]
-        out[k] = found >> 6
-        at += found & 63
-    return out.T.reshape(-1)[:count]
+        out[place[:n] + k] = found >> 6
+        at[:n] += found & 63
+    return out
+
+
+def unpack(bits: bytes, count: int, marks: np.ndarray, every: int, max_bits: int, table: np.ndarray) -> np.ndarray:
+    """The ``count`` ids of one document with a checkpoint at every ``every``-th."""
+    lanes = np.clip(count - every * np.arange(len(marks)), 0, every)
+    return unpack_lanes(bits, marks, lanes, max_bits, table)
 
 
 def write_ids(tokens: DataFrame, folder: str, max_bits: int = MAX_BITS, block_ids: int = BLOCK_IDS, every: int = EVERY) -> None:
@@ -453,9 +465,10 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
         for b in batches:
             for part, first, docs, nulls, sizes, marks, bits in zip(*(b[c] for c in ("part", "first", "docs", "nulls", "sizes", "marks", "bits"))):
                 docs, sizes, marks = np.frombuffer(docs, "<i8"), np.frombuffer(sizes, "<i8"), np.frombuffer(marks, "<i8")
-                lanes = -(-sizes // every)  # checkpoints of each document; its last one may be short
-                flat = unpack(bits, every * len(marks), marks, every, max_bits, table)
-                begin = (np.cumsum(lanes) - lanes) * every
+                many = -(-sizes // every)  # checkpoints of each document; the last one is short
+                nth = np.arange(len(marks)) - np.repeat(np.cumsum(many) - many, many)
+                flat = unpack_lanes(bits, marks, np.minimum(np.repeat(sizes, many) - every * nth, every), max_bits, table)
+                begin = np.cumsum(sizes) - sizes
                 at = starts[part] + first + np.cumsum(sizes) - sizes
                 yield pd.DataFrame({
                     "doc_id": pd.arrays.IntegerArray(docs.copy(), np.unpackbits(np.frombuffer(nulls, np.uint8), count=len(docs)).astype(bool)),

@@ -119,3 +119,26 @@ def test_bits_round_trip():
 
 def test_empty(none):
     assert t.token_file(none, PATH).count() == 0
+
+
+def test_short_documents_take_no_more_room_than_their_ids():
+    """A block of very short documents: each has a checkpoint, and none is opened to a full lane."""
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    sizes = rng.integers(1, 8, 50_000)
+    ids = rng.integers(0, 50, int(sizes.sum()))
+    lengths = t.code_lengths({i: int(n) for i, n in enumerate(np.bincount(ids))}, 18)
+    order, size, code = t.canonical(lengths)
+    table = np.zeros(50, np.uint64)
+    table[order] = (code << np.uint64(6)) | size.astype(np.uint64)
+    back = np.ones(1 << 18, np.int64)
+    for i, n, c in zip(order.tolist(), size.tolist(), code.tolist()):
+        back[c << (18 - n) : (c + 1) << (18 - n)] = i * 64 + n
+    bits, begin, total, local = t.pack_all(ids, sizes, table)
+    assert (local[np.cumsum(sizes) - sizes] == 0).all() and total.sum() == size[np.argsort(order)][ids].sum()
+    tracemalloc.start()
+    got = t.unpack_lanes(bits, 8 * begin, sizes, 18, back)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == ids).all() and peak < 60 * len(ids)
