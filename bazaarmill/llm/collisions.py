@@ -157,3 +157,15 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def op5_embedding_dedup(spark: SparkSession, root: str) -> DataFrame:
     return near_vectors(read(spark, root, "embeddings"))
+
+
+SQL = f"""
+WITH RECURSIVE v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+fine AS MATERIALIZED (SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v WHERE label IS NOT NULL AND len(e) > 0
+  AND len(list_filter(e, lambda x: isfinite(x))) = len(e) AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS MATERIALIZED (SELECT a.row AS a, b.row AS b, b.vec_id AS other FROM fine a JOIN fine b ON a.label = b.label AND len(a.e) = len(b.e) AND a.row <> b.row
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= {THRESHOLD}),
+reach AS (SELECT row, row AS r FROM v UNION SELECT reach.row, link.b FROM reach JOIN link ON link.a = reach.r)
+SELECT v.vec_id, (SELECT count(*) FROM link WHERE link.a = v.row) AS n_links, min(o.vec_id) AS component_id, v.vec_id = min(o.vec_id) AS kept
+FROM v JOIN reach ON reach.row = v.row JOIN v o ON o.row = reach.r GROUP BY v.row, v.vec_id
+"""

@@ -191,3 +191,20 @@ def op4_decontaminate(spark: SparkSession, root: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+SQL = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+pattern AS MATERIALIZED (SELECT DISTINCT item_id, w[i : i + least({WINDOW}, len(w)) - 1] AS p
+  FROM (SELECT *, unnest(range(1, greatest(1, len(w) - {WINDOW - 1}) + 1)) AS i FROM b WHERE len(w) > 0)),
+found AS MATERIALIZED (SELECT row, item_id, i, n FROM (
+    SELECT row, n, i, w[i : i + n - 1] AS q FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT len(p) AS n FROM pattern)))
+  JOIN pattern ON p = q),
+hit AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS place FROM found) GROUP BY row),
+items AS (SELECT row, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT row, item_id::VARCHAR AS id FROM found WHERE item_id IS NOT NULL) GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (row) LEFT JOIN items USING (row)
+"""

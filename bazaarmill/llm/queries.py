@@ -1,8 +1,8 @@
 """The queries of this package, and their comparison SQL where SQL can say them."""
 
-from .collisions import op5_embedding_dedup
+from .collisions import SQL as EMBEDDINGS, op5_embedding_dedup
 from .curriculum import op2_curriculum
-from .decontaminate import op4_decontaminate
+from .decontaminate import SQL as DECONTAMINATION, op4_decontaminate
 from .katz import op1_katz
 from .langid import op3_language_id
 from .nsbounds import SQL as CENTROIDS, op13_centroids
@@ -30,4 +30,9 @@ QUERIES = {
     "op13_centroids": op13_centroids,
 }
 
-SQL: dict[str, str] = {"op11_prefix_trie": PREFIX_TRIE, "op13_centroids": CENTROIDS}
+SQL: dict[str, str] = {
+    "op4_decontaminate": DECONTAMINATION,
+    "op5_embedding_dedup": EMBEDDINGS,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op13_centroids": CENTROIDS,
+}
