@@ -5,6 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from bazaarmill.operators import baskets
+from bazaarmill.plans import facts
 from bazaarmill.plans.verify import REPORTS, report
 from bazaarmill.plans.warehouse import build_warehouse, warehouse_report
 
@@ -79,3 +81,36 @@ def test_report_equals_second_engine(w, con, name, tmp_path_factory):
         assert all(p == q if isinstance(p, str) else abs(p - q) <= 0.011 for p, q in zip(x, y))
     if name == "total_mismatches":
         assert a == b == []
+
+
+def stored_rows(spark, build):
+    """Rows of the largest table that a query stores in between."""
+    from bazaarmill.session import run_root
+    from bazaarmill.sources import storage
+
+    root = f"{run_root(spark)}/frozen"
+    before = set(storage.folders(spark, root))
+    out = build()
+    return out, max(spark.read.parquet(f"{root}/{n}").count() for n in set(storage.folders(spark, root)) - before)
+
+
+@pytest.mark.parametrize("name", ["warehouse_items", "warehouse_sales"])
+def test_items_are_not_stored_to_be_packed(spark, tables, name):
+    out, most = stored_rows(spark, lambda: getattr(facts, name)(tables))
+    items = facts.warehouse_items(tables).count()
+    assert out.count() > 0 and most * 2 < items
+
+
+def test_ledger_needs_no_baskets(spark, tables):
+    out, most = stored_rows(spark, lambda: facts.warehouse_cash_movements(tables))
+    assert most * 2 < facts.warehouse_items(tables).count()
+
+
+def test_segments_pack_like_whole_days(spark):
+    # day 1 holds most items, over many segments; day 3 only one; some items have no day
+    day = "CASE WHEN id % 10 = 9 THEN NULL WHEN id = 500 THEN 3 WHEN id % 7 = 0 THEN 2 ELSE 1 END"
+    items = spark.range(1, 3000).selectExpr("id AS item", f"{day} AS day").withColumn("seg", F.floor(F.col("item") / 90))
+    got = baskets.pack_segments(items.repartition(34, "seg"), "seg", "day", ["item"], 34)
+    want = baskets.pack_baskets(items.filter("day IS NOT NULL").select("item", "day"), "day", ["item"])
+    a = {r["item"]: r["basket_no"] for r in got.collect()}
+    assert len(a) == 2999 and {i: b for i, b in a.items() if b is not None} == {r["item"]: r["basket_no"] for r in want.collect()}
