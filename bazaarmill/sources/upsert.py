@@ -8,6 +8,7 @@ change nothing, a batch that is loaded twice changes nothing, and a load that br
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -65,7 +66,8 @@ def upsert(
     old = spark.read.schema(batch.schema).parquet(path).select(*names)
     touched = {r[by] for r in new.select(by).distinct().collect()}
     if moves:
-        held = old.select(*keys, by)
+        # partitions that the batch touches anyway are read below; only keys of the others are looked up
+        held = old.filter(~F.coalesce(_in(by, list(touched)), F.lit(False))).select(*keys, by)
         touched |= {r[by] for r in held.join(new.select(*keys), _same_key(held, new, keys), "left_semi").select(by).distinct().collect()}
     here = old.filter(_in(by, list(touched)))
 
@@ -87,14 +89,20 @@ def upsert(
 
     changed = effect.select(*names).distinct()
     kept = here.filter(_in(by, list(write)))
-    merged = freeze(kept.join(changed, _same_key(kept, changed, keys), "left_anti").unionByName(changed))
-    out = merged.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    out.partitionBy(by).parquet(path)
-    filled = {r[by] for r in merged.select(F.col(by).cast("string").alias(by)).distinct().collect()}
+    merged = kept.join(changed, _same_key(kept, changed, keys), "left_anti").unionByName(changed)
+    # written aside in its folders, as it is read from the table that it changes; then the folders take their places
+    aside = f"{path}-aside-{uuid.uuid4().hex}"
+    merged.hint("rebalance", F.col(by)).write.partitionBy(by).parquet(aside)
+    null = storage.partition_folder(spark, by, None)
+    filled, written = set(storage.partition_values(spark, aside, by)), storage.folders(spark, aside)
+    for name in written:
+        storage.remove(spark, f"{path}/{name}")
+        storage.move(spark, f"{aside}/{name}", f"{path}/{name}")
+    storage.remove(spark, aside)
     texts = {r["t"] for r in effect.select(F.explode(F.array(F.col(by).cast("string"), F.col("_from").cast("string"))).alias("t")).distinct().collect()}
     for value in texts - filled:  # all rows of such a partition moved to others
         if value is not None:
             storage.remove(spark, f"{path}/{storage.partition_folder(spark, by, value)}")
-    if None in write and None not in filled:
-        storage.remove(spark, f"{path}/{storage.partition_folder(spark, by, None)}")
+    if None in write and null not in written:
+        storage.remove(spark, f"{path}/{null}")
     return sorted(write, key=str)

@@ -99,6 +99,19 @@ def test_upsert_checks_rows_and_reads_only_touched_folders(spark, tmp_path):
     assert len(table(spark, path)) == 20
 
 
+def test_upsert_writes_changed_partitions_once(spark, tmp_path):
+    """The merged rows are not stored before they are written; partition values of null and of untouched folders are still found."""
+    from bazaarmill.session import run_root
+
+    path, root = str(tmp_path / "items"), f"{run_root(spark)}/frozen"
+    upsert(spark.createDataFrame([(1, 1, 1, 5), (2, None, 1, 6), (3, 3, 1, 7)], ITEM), path, ["id"], "version", "month")
+    before = set(storage.folders(spark, root))
+    upsert(spark.createDataFrame([(2, 1, 2, 8), (3, 1, 2, 9)], ITEM), path, ["id"], "version", "month")
+    assert len(set(storage.folders(spark, root)) - before) == 2  # the batch and its effect
+    assert table(spark, path) == [(1, 1, 1, 5), (2, 1, 2, 8), (3, 1, 2, 9)]
+    assert storage.folders(spark, path) == ["month=1"] and [n for n in _names(spark, str(tmp_path)) if "aside" in n] == []
+
+
 def test_upsert_refuses_orphans(spark, tmp_path):
     path = str(tmp_path / "items")
     months = Guard(references=[ForeignKey("known month", "items", "month", "months", "m")], parents={"months": spark.createDataFrame([(1,), (2,)], "m int")})
