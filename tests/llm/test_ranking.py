@@ -99,3 +99,33 @@ def test_pieces_do_not_change_features(monkeypatch):
     monkeypatch.setattr(m, "PIECE", 7)
     assert np.allclose(m.features(text), want)
     assert m.features(None).tolist() == m.features("").tolist()
+
+
+def test_learns_from_every_labelled_document(spark, docs):
+    """Documents that only the last of many labels name change the model and its threshold; all pairs are compared."""
+    rng = random.Random(4)
+    words = ["reading", "water", "house", "light", "from", "Stone", "1862", "...", "AND"]
+    made = [(i, " ".join(rng.choice(words[: 5 + i % 5]) for _ in range(rng.randint(3, 9)))) for i in range(6_000)]
+    table = spark.createDataFrame(made, "doc_id long, text string").repartition(4)
+    marks = [(i, int(i % 5 < 3) ^ (i % 17 == 0)) for i in range(6_000)]
+    kind, w, cut = m.fit(table, marked(spark, marks))
+    x = np.array([m.features(t) for _, t in made], np.float64)
+    mark = np.array([q for _, q in marks])
+    s = x @ w
+    better, worse = s[mark == 1], s[mark == 0]
+    assert kind == "ranked" and cut == pytest.approx(m.quantile_cut(s, np.ones(len(s)), (mark == 0).mean()), abs=1e-9)
+    lost = 1 / (1 + np.exp(better[:, None] - worse[None, :]))  # the slope over all pairs vanishes at the model
+    slope = -lost.mean(1) @ x[mark == 1] / len(better) + lost.mean(0) @ x[mark == 0] / len(worse) + m.PENALTY * w
+    assert np.linalg.norm(slope) < 3 * m.SHORT
+
+
+def test_threshold_narrows_to_the_same_cut(spark, monkeypatch):
+    monkeypatch.setattr(m, "INTERVALS", 4)
+    monkeypatch.setattr(m, "FEW", 3)
+    rng = np.random.default_rng(3)
+    for s in (rng.normal(size=200), rng.integers(0, 6, 200).astype(float), np.full(200, 1.5)):
+        mark = np.sort(rng.integers(0, 2, 200))
+        rows = spark.createDataFrame(list(zip(mark.tolist(), s.tolist())), "mark int, s double")
+        for share in (0.0, 0.3, 0.71, 1.0):
+            weight = (1.0, 1.25)
+            assert m.threshold(rows, weight, share) == m.quantile_cut(s, np.array(weight)[mark], share)
