@@ -23,6 +23,8 @@ import contextlib
 import functools
 import itertools
 import json
+import operator
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -33,7 +35,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import run_root
-from .common import read, stored
+from .common import kept_in_worker, read, stored
 
 BLOCK_IDS = 1 << 20
 EVERY = 256
@@ -62,13 +64,19 @@ class Pieces:
 
     A text is cut before every space that stands between two characters other than white space, and a piece around every such
     line feed. The vocabulary's own splitting never joins across these places, so the ids of the pieces, one after another, are
-    the ids of the text. Letters and a tail of punctuation are two words to the splitting, so these go straight to the library's
-    merge model; any other piece goes through the whole library. A text with other white space beside a space is encoded
+    the ids of the text. Pieces of Latin letters, digits, ASCII punctuation and single line feeds go to the library's merge model,
+    several at once: if no entry of the vocabulary spans two kinds of these characters, merging does not join what the splitting
+    parts, and a piece begins at each id that begins with a space. Of the others, letters and a tail of punctuation are two words
+    to the splitting, so these go to the merge model one by one; any other piece goes through the whole library. A text with other white space beside a space is encoded
     whole, and so is one that holds an added token of the vocabulary, such as ``<|endoftext|>``: the library takes that
     out before all else.
     """
 
     TAIL = ".,;:!?*$%&#()\"-/"
+    #: Pieces that are merged together: more than the 256 bytes up to which the merge model keeps what it has merged.
+    TOGETHER = 64
+    MARKS = r"!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"  # no apostrophe: what follows it may be a word
+    PLAIN = re.compile(f"[A-Za-zÀ-ÖØ-öø-ÿ0-9{MARKS}]+(?:\n[A-Za-zÀ-ÖØ-öø-ÿ0-9{MARKS}]+)*")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -81,17 +89,46 @@ class Pieces:
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.byte = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(other)}
+        self.starts = kept_in_worker(f"starts of {path}", self.spaced) if self.direct else None
         self.known, self.chars, self.tails = Numbers(), 0, {}
         self.begin = self.size = self.uses = np.zeros(0, np.int64)
         self.odd, self.flat = np.zeros(0, bool), np.zeros(0, np.uint32)
 
+    def spaced(self) -> np.ndarray | None:
+        """Which ids begin with a space; None if an entry of the vocabulary spans kinds of characters that ``PLAIN`` mixes."""
+        vocabulary = self.tok.get_vocab()
+        space, feed, high = self.byte[32], self.byte[10], "".join(re.escape(self.byte[b]) for b in [*range(0x80, 0xC0), 0xC3])
+        letter, digit, mark = f"A-Za-z{high}", "0-9", self.MARKS
+        plain = re.compile(f"[{letter}{digit}{mark}{space}{feed}]+")
+        spans = re.compile(f"[{letter}][{digit}{mark}]|[{digit}][{letter}{mark}]|[{mark}][{letter}{digit}]|[{letter}{digit}{mark}{feed}]{space}|[{letter}{digit}{mark}{space}]{feed}|{feed}[{letter}{digit}{mark}]")
+        if any(plain.fullmatch(t) and t not in self.added for t in filter(spans.search, vocabulary)):
+            return None
+        out = np.zeros(max(vocabulary.values()) + 1, bool)
+        out[[i for t, i in vocabulary.items() if t.startswith(space)]] = True
+        return out
+
+    def merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``PLAIN`` pieces after a space each, one after another, and their numbers."""
+        ids: list[int] = []
+        merge, get = self.tok.model.tokenize, operator.attrgetter("id")
+        for i in range(0, len(pieces), self.TOGETHER):
+            text = " " + " ".join(pieces[i : i + self.TOGETHER])
+            text = text.replace(" ", self.byte[32]).replace("\n", self.byte[10]) if text.isascii() else text.encode().decode("latin-1").translate(self.byte)
+            ids += map(get, merge(text))
+        flat = np.array(ids, np.uint32)
+        begin = np.flatnonzero(self.starts[flat])
+        if len(begin) != len(pieces):
+            raise RuntimeError(f"{len(pieces)} pieces have {len(begin)} beginnings")
+        return flat, np.diff(begin, append=len(flat))
+
     def forget(self) -> None:
         """Keeps half of ``CACHE`` and ``CACHE_CHARS`` at most, of the pieces that came more than once."""
-        often = ((self.uses > 1) & ~self.odd).tolist()
+        often, pieces = np.flatnonzero((self.uses > 1) & ~self.odd), list(self.known)  # in the order of their numbers
         kept, chars, old = Numbers(), 0, []
-        for p, k in self.known.items():
+        for k in often.tolist():
+            p = pieces[k]
             n = len(p) if type(p) is str else len(p[0])
-            if often[k] and len(kept) < CACHE // 2 and chars + n <= CACHE_CHARS // 2:
+            if len(kept) < CACHE // 2 and chars + n <= CACHE_CHARS // 2:
                 dict.__setitem__(kept, p, len(kept))
                 chars += n
                 old.append(k)
@@ -111,7 +148,8 @@ class Pieces:
     def learn(self, new: list) -> None:
         """Ids of new pieces, in their order: a string stands for a space and itself, a tuple for a text's first piece."""
         rows: list = [None] * len(new)
-        odd, rest, first = np.zeros(len(new), bool), [], len(self.size)
+        odd, rest, joint, first = np.zeros(len(new), bool), [], [], len(self.size)
+        plain = self.PLAIN.fullmatch if self.starts is not None else lambda _: None
         known, merge, byte, tails, tail_of = self.known.get, self.tok.model.tokenize, self.byte, self.tails, self.TAIL
 
         def part(text: str, lead: str) -> list[int] | None:
@@ -145,6 +183,10 @@ class Pieces:
             return ids
 
         for n, p in enumerate(new):
+            if type(p) is str and plain(p):
+                joint.append(n)
+                self.chars += len(p)
+                continue
             text, lead = (p, "\u0120") if type(p) is str else (p[0], "")
             self.chars += len(text)
             if lead and (not text or text[0].isspace()) or text[-1:].isspace():
@@ -158,10 +200,14 @@ class Pieces:
             texts = [new[n][0] if type(new[n]) is tuple else " " + new[n] for n in where]
             for n, e in zip(where, self.tok.encode_batch_fast(texts, add_special_tokens=False)):
                 rows[n] = e.ids
-        size = np.fromiter(map(len, rows), np.int64, len(rows))
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])
-        self.flat = np.concatenate([self.flat, np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(size.sum()))])
-        self.size = np.concatenate([self.size, size])
+        flat, many = self.merged([new[n] for n in joint]) if joint else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        rows = [r for r in rows if r is not None]
+        order = np.concatenate([joint, np.delete(np.arange(len(new)), joint)]).astype(np.int64)  # as they stand in ``flat``
+        size, begin = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        size[order] = np.concatenate([many, np.fromiter(map(len, rows), np.int64, len(rows))])
+        begin[order] = len(self.flat) + np.cumsum(size[order]) - size[order]
+        others = np.fromiter(itertools.chain.from_iterable(rows), np.uint32, int(size.sum()) - len(flat))
+        self.flat, self.begin, self.size = np.concatenate([self.flat, flat, others]), np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
         self.odd, self.uses = np.concatenate([self.odd, odd]), np.concatenate([self.uses, np.zeros(len(new), np.int64)])
 
     @functools.cached_property
@@ -182,7 +228,7 @@ class Pieces:
         first = cut.offsets.to_numpy().astype(np.int64)
         words = cut.values.slice(first[0], first[-1] - first[0]).dictionary_encode()
         first -= first[0]
-        distinct = words.dictionary.to_pylist()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         look = self.known.__getitem__
         k = np.fromiter(map(look, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
         opening = words.indices.to_numpy()[first[:-1]].tolist()

@@ -142,3 +142,14 @@ def test_short_documents_take_no_more_room_than_their_ids():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert (got == ids).all() and peak < 60 * len(ids)
+
+
+def test_plain_pieces_are_merged_together(library, monkeypatch):
+    """Letters, digits, marks and line feeds need no call each; what the splitting parts stays apart."""
+    texts = ["one two.three, four\nfive. (Größe) a1b2 $5,000 x_y/z?q=2 Straße\nÄ 3½ a×b don't l'été a\n\nb <|endoftext|>x " + "ab." * 300, "a " + "q9" * 40 + " b"]
+    pieces = t.Pieces(PATH)
+    calls = []
+    real = pieces.merged
+    monkeypatch.setattr(pieces, "merged", lambda p: calls.append(p) or real(p))
+    assert [x.tolist() for x in pieces.ids(texts)] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert {"two.three,", "four\nfive.", "a1b2", "Straße\nÄ"} <= set(calls[0]) and not {"3½", "a×b", "don't", "a\n\nb"} & set(calls[0])
