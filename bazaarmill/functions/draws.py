@@ -17,7 +17,11 @@ HEX_DIGITS = 15  # 60 bits of the digest: far above any modulus, and a whole num
 def draw(salt: str, modulus: int | Column, *keys: Column | str) -> Column:
     """Integer in ``[0, modulus)`` decided by the key columns and the salt."""
     parts = [F.col(k) if isinstance(k, str) else k for k in keys]
-    text = F.concat_ws(":", *[p.cast("string") for p in parts], F.lit(salt))
+    return draw_of(F.concat_ws(":", *[p.cast("string") for p in parts], F.lit(salt)), modulus)
+
+
+def draw_of(text: Column, modulus: int | Column) -> Column:
+    """``draw`` of keys and salt that are one text already, with a colon between them; keys without nulls are joined faster by ``concat``."""
     number = F.conv(F.substring(F.md5(text), 1, HEX_DIGITS), 16, 10).cast("bigint")
     m = modulus if isinstance(modulus, Column) else F.lit(modulus)
     return number % m.cast("bigint")

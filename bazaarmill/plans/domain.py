@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import date_key, date_of
-from ..functions.draws import draw as draw_col, weighted_bucket
+from ..functions.draws import draw as draw_col, draw_of, weighted_bucket
 from ..functions.money import AMOUNT, TOTAL, UNIT, clamp, total
 from ..operators import baskets, expenses, ledger, loans, pricing
 from ..operators.calendar import EVERY_YEAR, YEAR_2024, calendar_for
@@ -176,10 +176,10 @@ def factor_cost_query(t):
 )
 def unit_explosion(t):
     """Every unit gets its own grade; counted per product."""
-    units = pricing.explode_units(t.lineitem_spread.select("l_partkey", "l_row", "l_quantity"), "l_quantity")
-    return units.groupBy("l_partkey").agg(
-        F.count("*").alias("units"), F.count_if(draw_col("grade", 100, "l_row", "unit_no") < 70).alias("grade_1")
-    )
+    lines = t.lineitem_spread.select("l_partkey", F.concat("l_row", F.lit(":")).alias("line"), "l_quantity")
+    units = pricing.explode_units(lines, "l_quantity")
+    grade = draw_of(F.concat("line", F.col("unit_no").cast("string"), F.lit(":grade")), 100)  # draw("grade", 100, l_row, unit_no)
+    return units.groupBy("l_partkey").agg(F.count("*").alias("units"), F.count_if(grade < 70).alias("grade_1"))
 
 
 # Pricing and selling of items, as a chain of steps on the same rows

@@ -284,3 +284,16 @@ def test_balances_fill_days_without_postings(spark):
     rows = post(spark, [("x", 1, "Debts", "Deposit", "5.00", None, None), ("x", 4, "Debts", "Withdrawal", "2.00", None, None), ("x", 6, "Operations", "Deposit", "1.00", None, None)])
     got = {(r.account, r.day.day): r.balance for r in ledger.balances_over_time(rows, ["e"]).collect()}
     assert got == {("Debts", d): D("5.00") for d in (1, 2, 3)} | {("Debts", d): D("3.00") for d in (4, 5, 6)} | {("Operations", 6): D("1.00")}
+
+
+def test_unit_draws_join_the_line_key_once(spark, tables):
+    """A unit's text is put together by one plain ``concat``, and its draw is that of the keys."""
+    from bazaarmill.functions.draws import draw, draw_of
+    from bazaarmill.plans.domain import unit_explosion
+    from pyspark.sql import functions as F
+
+    rows = spark.range(200).select(F.concat_ws("-", "id", F.lit(3)).alias("k"), (F.col("id") % 7).cast("int").alias("n"))
+    same = draw("grade", 100, "k", "n") == draw_of(F.concat("k", F.lit(":"), F.col("n").cast("string"), F.lit(":grade")), 100)
+    assert rows.filter(~same).count() == 0
+    plan = unit_explosion(tables)._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat_ws" not in plan[: plan.index("Generate")]
