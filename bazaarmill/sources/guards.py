@@ -17,7 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..operators.ordered import row_numbers
 from ..operators.quality import ForeignKey, Unique
 from ..session import freeze
 
@@ -84,33 +83,49 @@ def repeated_keys(batch: DataFrame, rule: Unique) -> DataFrame:
 
 
 def _mark(rows: DataFrame, columns: Sequence[str], keys: DataFrame, mark: str) -> DataFrame:
-    """Adds a boolean: the row's key is among ``keys``. A sort-merge join splits a key with very many rows."""
-    k = keys.select(*[F.col(f"k{i}").alias(f"_k{i}") for i in range(len(columns))], F.lit(True).alias("_hit"))
+    """Adds a boolean: the row's key is among ``keys``, and the row is not the key's ``_first``. A sort-merge join splits a key with very many rows."""
+    first = [c for c in keys.columns if c == "_first"]
+    k = keys.select(*[F.col(f"k{i}").alias(f"_k{i}") for i in range(len(columns))], *first, F.lit(True).alias("_hit"))
     on = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_k{i}") for i, c in enumerate(columns)])
-    return rows.join(k, on, "left").select(*rows.columns, F.coalesce("_hit", F.lit(False)).alias(mark))
+    hit = F.coalesce("_hit", F.lit(False))
+    return rows.join(k, on, "left").select(*rows.columns, (hit & ~F.col("_any").eqNullSafe(F.col("_first")) if first else hit).alias(mark))
+
+
+def broken_keys(batch: DataFrame, rule: Unique, order: Sequence[str], target: DataFrame | None) -> DataFrame:
+    """(k0, k1 ..., _first) of the keys that come again in the batch or that the target has.
+
+    ``_first`` is the ``_any`` of the row that is good, the least in ``order``; null if the target has the key.
+    """
+    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in rule.columns])
+    names = [f"k{i}" for i in range(len(rule.columns))]
+    least = F.min(F.struct(*order, "_any"))["_any"].alias("_first")
+    keys = batch.filter(full).groupBy(*[F.col(c).alias(n) for c, n in zip(rule.columns, names)]).agg(F.count("*").alias("_n"), least)
+    if target is None:
+        return keys.filter("_n > 1").drop("_n")
+    keys = freeze(keys)
+    there = target.select(*[F.col(c).cast(keys.schema[n].dataType).alias(n) for c, n in zip(rule.columns, names)])
+    taken = may_contain(there, names, keys.select(*names)).distinct().withColumn("_taken", F.lit(True))
+    return keys.join(taken, names, "left").filter("_n > 1 or _taken").select(*names, F.when(F.col("_taken").isNull(), F.col("_first")).alias("_first"))
 
 
 def examine(batch: DataFrame, guard: Guard, target: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and the others with the names of the rules they break (``broken_rules``)."""
+    """Good rows, and the others with the names of the rules they break (``broken_rules``).
+
+    The rules' broken keys are found first. Rows then meet them once for each rule, and no row is moved to be numbered.
+    """
     columns = batch.columns
-    rows, names = freeze(batch), []
+    source = freeze(batch.withColumn("_any", F.monotonically_increasing_id()))
+    rows, names = source, []
 
     def add(mark: str, name: str) -> None:
         names.append(F.when(F.col(mark), F.lit(name)))
 
-    source = rows
     for i, r in enumerate(guard.references):
         rows = _mark(rows, [r.column], orphan_keys(source, r, guard.parents[r.parent]), f"_r{i}")
         add(f"_r{i}", r.name)
     for i, u in enumerate(guard.unique):
-        if target is not None:
-            rows = _mark(rows, u.columns, taken_keys(source, u, target), f"_t{i}")
-            add(f"_t{i}", u.name)
-        rows = _mark(rows, u.columns, repeated_keys(source, u), f"_d{i}")
-        # only rows of repeated keys are numbered; segments cut a key with very many of them
         order = [c for c in (guard.order or columns) if c not in u.columns]
-        again = row_numbers(rows.filter(F.col(f"_d{i}")).withColumn("_any", F.monotonically_increasing_id()), list(u.columns), [*order, "_any"], "_nth").drop("_any")
-        rows = again.withColumn(f"_d{i}", F.col("_nth") > 1).drop("_nth").unionByName(rows.filter(~F.col(f"_d{i}")))
+        rows = _mark(rows, u.columns, broken_keys(source, u, order, target), f"_d{i}")
         add(f"_d{i}", u.name)
     found = F.array_distinct(F.filter(F.array(*names), lambda x: x.isNotNull())) if names else F.array().cast("array<string>")
     marked = freeze(rows.select(*columns, found.alias("broken_rules")))

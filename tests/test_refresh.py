@@ -273,6 +273,17 @@ def test_hot_keys_are_marked(spark, guard):
     assert [tuple(r) for r in good.collect()] == [(3, 1, 0)] and bad.count() == 4999
 
 
+def test_rows_are_read_once_to_be_marked(spark, guard, monkeypatch):
+    frozen, freeze = [], guards.freeze
+    monkeypatch.setattr(guards, "freeze", lambda df: frozen.append(df) or freeze(df))
+    target = spark.createDataFrame([(1, 1, 5)], LINE)
+    good, bad = guards.examine(spark.createDataFrame([(1, 1, 9), (3, 1, 8), (3, 1, 6), (2, 1, 4)], LINE), guard, target)
+    assert sorted(map(tuple, good.collect())) == [(2, 1, 4), (3, 1, 6)] and bad.count() == 2
+    leaves = frozen[-1]._jdf.queryExecution().optimizedPlan().collectLeaves()
+    stored = [x for x in map(leaves.apply, range(leaves.size())) if x.nodeName() == "LogicalRelation"]
+    assert sum("amount" in x.output().toString() for x in stored) == 1
+
+
 # Co-buckets
 
 
