@@ -92,3 +92,57 @@ def test_discounts_take_something():
     assert all(0 < x <= 1 for x in d.d[1:])
     odd = katz.Discounts(np.array([0, 0, 3, 0, 0, 0, 9]), 60, 12)
     assert odd.d[2] == 0.75
+
+
+def test_only_histories_that_meet_others_are_sent(spark, tmp_path, monkeypatch):
+    """Order 3 in three passes; what occurs once stays in its block, unless the model is kept."""
+    root = f"{tmp_path}/run"
+    monkeypatch.setattr(katz, "run_root", lambda _: root)
+    train = [d for d in range(60) if zlib.crc32(str(d).encode()) % 10]
+    held = next(d for d in range(99) if zlib.crc32(str(d).encode()) % 10 == 0)
+    texts = [(d, f"x{d} y{d} the same") for d in train] + [(held, f"x{train[0]} y{train[0]} z")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: tuple(r) for r in katz.katz_scores(frame).collect()}
+    for r in plain(texts, 3)[0]:
+        assert got[r[0]][:5] == r[:5] and got[r[0]][5:] == pytest.approx(r[5:], abs=1e-9)
+    (run,) = (tmp_path / "run" / "llm").iterdir()
+    assert {x.name for x in run.iterdir()} == {"counts", "histories"}
+    assert not list(run.glob("*/kind=model"))
+    sent = spark.read.parquet(f"{run}/histories").where("m = 3").select("v0").collect()
+    # "the same", and the pair that a held-out document repeats; the other pairs stand once
+    assert sum(len(katz.unpacked(r["v0"], np.uint64)) for r in sent) == 2
+
+    model = f"{tmp_path}/model"
+    assert {r["doc_id"]: tuple(r) for r in katz.katz_scores(frame, folder=model).collect()} == got
+    kept = spark.read.parquet(f"{model}/histories").where("kind = 'model' and m = 3").select("v0").collect()
+    # per document (x y), (y the); one (the same) for all
+    assert sum(len(katz.unpacked(r["v0"], np.uint64)) for r in kept) == 2 * len(train) + 1
+
+
+@pytest.mark.parametrize("most", [300, 1 << 62])
+def test_distinct(most):
+    code = np.random.default_rng(1).integers(0, 300, 1000).astype(np.uint64)
+    u, first, number = katz.distinct(code, most)
+    assert list(u) == sorted(set(code.tolist())) and (u[number] == code).all()
+    assert [code.tolist().index(x) for x in u] == first.tolist()
+    assert [len(x) for x in katz.distinct(code[:0], most)] == [0, 0, 0]
+
+
+def test_words_of_a_block():
+    import pyarrow as pa
+
+    from bazaarmill.llm.common import words
+
+    texts = ["", " ", "A b\t\x0bB\n", "\x1c\x85\u00a0 É é", "a" * 50, "b \x00 b"]
+    b = katz.Block.of(list(range(6)), pa.array(texts, pa.large_string()), 10)
+    assert b.size.tolist() == [len(words(t)) + 1 for t in texts]
+    from xxhash import xxh64_intdigest
+
+    assert b.vocabulary[b.word].tolist() == [xxh64_intdigest(w, 1) for t in texts for w in (*words(t), b"\n")]
+    again = katz.Block.unpack(b.pack())
+    assert (again.word == b.word).all() and (again.vocabulary == b.vocabulary).all() and (np.diff(b.vocabulary) > 0).all()
+
+
+@pytest.mark.parametrize("a", [np.zeros(0), np.array([0.25, 3.5, 0.25, 0.0]), np.array([5, 1 << 63, 0], np.uint64)])
+def test_coded_arrays_come_back(a):
+    assert katz.decoded(katz.coded(a), a.dtype).tolist() == a.tolist()
