@@ -146,3 +146,23 @@ def test_words_of_a_block():
 @pytest.mark.parametrize("a", [np.zeros(0), np.array([0.25, 3.5, 0.25, 0.0]), np.array([5, 1 << 63, 0], np.uint64)])
 def test_coded_arrays_come_back(a):
     assert katz.decoded(katz.coded(a), a.dtype).tolist() == a.tolist()
+
+
+@pytest.mark.parametrize("more, asking", [([], 0), ([" c"] * 30, None), (["held"], 1)])
+def test_sums_go_to_blocks_that_need_them(spark, tmp_path, monkeypatch, more, asking):
+    """A repeated history is answered where an unseen word follows it, or only frequent ones; before, wherever it stood."""
+    monkeypatch.setattr(katz, "run_root", lambda _: f"{tmp_path}/run")
+    monkeypatch.setattr(katz, "BLOCK_WORDS", 20)
+    train = [d for d in range(150) if zlib.crc32(str(d).encode()) % 10]
+    held = next(d for d in range(99) if zlib.crc32(str(d).encode()) % 10 == 0)
+    texts = [(d, f"a b x{d}") for d in train[:60]] + [(d, f"a b{x}") for d, x in zip(train[60:], more) if x != "held"]
+    texts += [(held, "a b z")] * ("held" in more)
+    got = {r["doc_id"]: tuple(r) for r in katz.katz_scores(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)).collect()}
+    for r in plain(texts, 3)[0]:
+        assert got[r[0]][:5] == r[:5] and got[r[0]][5:] == pytest.approx(r[5:], abs=1e-9)
+    (run,) = (tmp_path / "run" / "llm").iterdir()
+    counts = spark.read.parquet(f"{run}/counts").where("kind = 'answer' and m = 3")
+    assert counts.select("block").distinct().count() > 5
+    if asking is not None:
+        sent = spark.read.schema(katz.REPLIES).parquet(f"{run}/histories").where("kind = 'answer' and m = 3").select("v1").collect()
+        assert sum(len(katz.decoded(r["v1"], np.float64)) for r in sent) == asking
