@@ -166,3 +166,16 @@ def test_sums_go_to_blocks_that_need_them(spark, tmp_path, monkeypatch, more, as
     if asking is not None:
         sent = spark.read.schema(katz.REPLIES).parquet(f"{run}/histories").where("kind = 'answer' and m = 3").select("v1").collect()
         assert sum(len(katz.decoded(r["v1"], np.float64)) for r in sent) == asking
+
+
+def test_counts_go_in_two_writes_but_never_to_an_older_model(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    frame = spark.createDataFrame([(d, "a b c d") for d in range(20)], "doc_id long, text string")
+    katz.katz_scores(frame, folder=f"{tmp_path}/model").count()
+    counts = spark.read.parquet(f"{tmp_path}/model/counts").where("kind = 'model'")
+    assert {r["m"] for r in counts.select("m").distinct().collect()} == {1, 2, 3}
+    writes = {p.name.split("-c000")[0].split("-", 2)[2] for p in (tmp_path / "model" / "counts").rglob("part-*.parquet")}
+    assert len({w.split(".")[0] for w in writes}) == 2  # the shorter n-grams, then the longest
+    with pytest.raises(AnalysisException):
+        katz.katz_scores(frame, folder=f"{tmp_path}/model")
