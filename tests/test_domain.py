@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal as D
 
@@ -13,6 +14,8 @@ from bazaarmill.functions.draws import draw, weighted_bucket
 from bazaarmill.operators import baskets, expenses, ledger, loans, pricing
 from bazaarmill.operators.calendar import calendar
 from bazaarmill.operators.picks import preferred_pick
+from bazaarmill.plans import domain  # noqa: F401, registers the queries
+from bazaarmill.registry import QUERIES
 
 CENT = D("0.01")
 
@@ -142,6 +145,23 @@ def test_every_item_is_packed_once(spark):
     assert sorted((r.id, r.basket_no) for r in ranged.collect()) == sorted((r.id, r.basket_no) for r in rows)
 
 
+@pytest.mark.parametrize("name", ["basket_totals", "range_join"])
+def test_opened_ranks_are_not_broadcast(spark, tables, name):
+    df = QUERIES[name].build(tables)
+    assert len(df.collect()) > 0  # the plan below is the final one
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [day#" in plan
+    assert not re.search(r"BroadcastHashJoin \[[^\]]*(item_rank|_bucket)", plan)
+
+
+@pytest.mark.parametrize("days, near", [({1: 1, 2: 3000, 3: 40}, 1), ({1: 1, 2: 3000, 3: 40}, 50)])
+def test_days_of_small_baskets_are_planned_to_the_end(spark, monkeypatch, days, near):
+    monkeypatch.setattr(baskets, "NEAR", near)
+    df = spark.createDataFrame(list(days.items()), "day int, n bigint")
+    got = baskets.plan_baskets(df, "day", "n", lambda day, number: F.lit(1).cast("bigint"), 4)
+    assert {r["day"]: r["count"] for r in got.groupBy("day").count().collect()} == days
+
+
 def test_basket_size_shares(spark):
     r = spark.range(20000).select(F.lit(7).alias("day"), F.col("id").alias("k")).select(baskets.basket_size("day", "k").alias("s")).toPandas().s
     shares = [(r == 1).mean(), r.between(2, 4).mean(), r.between(5, 8).mean(), r.between(9, 10).mean(), r.between(11, 50).mean()]
