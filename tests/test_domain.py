@@ -145,7 +145,7 @@ def test_every_item_is_packed_once(spark):
     assert sorted((r.id, r.basket_no) for r in ranged.collect()) == sorted((r.id, r.basket_no) for r in rows)
 
 
-@pytest.mark.parametrize("name", ["basket_packing", "basket_totals", "range_join"])
+@pytest.mark.parametrize("name", ["basket_packing", "basket_totals", "range_to_equi", "range_join"])
 def test_opened_ranks_are_not_broadcast(spark, tables, name):
     df = QUERIES[name].build(tables)
     assert len(df.collect()) > 0  # the plan below is the final one
