@@ -5,10 +5,10 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarmill.operators import baskets
+from bazaarmill.operators import baskets, pricing
 from bazaarmill.plans import facts
 from bazaarmill.plans.verify import REPORTS, report
-from bazaarmill.plans.warehouse import build_warehouse, warehouse_report
+from bazaarmill.plans.warehouse import build_items, build_warehouse, warehouse_report
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +114,33 @@ def test_segments_pack_like_whole_days(spark):
     want = baskets.pack_baskets(items.filter("day IS NOT NULL").select("item", "day"), "day", ["item"])
     a = {r["item"]: r["basket_no"] for r in got.collect()}
     assert len(a) == 2999 and {i: b for i, b in a.items() if b is not None} == {r["item"]: r["basket_no"] for r in want.collect()}
+
+
+def test_each_value_of_an_item_is_drawn_once(w):
+    plan = build_items(w["bells"], w)._jdf.queryExecution().optimizedPlan().toString()
+    assert {salt: plan.count(f"as string), {salt})") for salt in ("grade", "tier", "markup", "sell", "days-fast", "days")} == dict.fromkeys(
+        ("grade", "tier", "markup", "sell", "days-fast", "days"), 1
+    )
+    day = build_items(w["bells"], w).select("date_sold_key")._jdf.queryExecution().optimizedPlan().toString()
+    assert "coalesce(_least" in day.split("markup)")[0].split("\n")[-1]  # mark-ups are drawn behind what most purchases decide
+
+
+@pytest.mark.parametrize("cost", ["0.00", "1999.99", "2000.00", "2499.995", "2500.00", "4000.00", "4000.01", "5000.00", "9999999.99"])
+def test_price_tables_equal_prices_of_single_items(spark, cost):
+    rows = spark.range(300).selectExpr("id", f"CAST({cost} AS DECIMAL(10,2)) AS cost").withColumn("prices", pricing.price_table("cost", 20, 30, 50))
+    tier = F.col("id") % 7 == 0
+    one, other = (pricing.markup(rows, "cost", tier, 20, 30, 50, "id", prices=p).select("id", "is_top_tier", "markup_percent", "selling_price") for p in (None, "prices"))
+    assert one.schema == other.schema and sorted(one.collect()) == sorted(other.collect())
+    assert one.select("markup_percent").distinct().count() == 12
+
+
+def test_least_chance_equals_the_whole_score(spark):
+    rows = spark.range(50, 100).withColumnRenamed("id", "chance").crossJoin(
+        spark.createDataFrame([(a, b, c) for a in ("0.95", "0.75") for b in ("0.85", "1.05", "1.20", "1.35", "0.01") for c in ("1.55", "1.30", "1.10", "0.00")], "a string, b string, c string")
+    )
+    rows = rows.select("chance", *[F.col(x).cast("decimal(5,2)").alias(x) for x in "abc"]).withColumn("need", pricing.least_chance([F.col(x) for x in "abc"], "0.60"))
+    last = (F.col("chance").cast("decimal(5,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(5,2)")
+    factors = [*[F.col(x) for x in "abc"], last]
+    both = pricing.sell_score(rows, factors, "0.60").withColumnRenamed("will_sell", "want")
+    got = pricing.sell_score(both, factors, "0.60", ("need", F.col("chance"), 50, 99))
+    assert got.filter("NOT coalesce(will_sell, false) <=> want").count() == 0 and got.filter("want").count() not in (0, got.count())
