@@ -162,6 +162,19 @@ def test_days_of_small_baskets_are_planned_to_the_end(spark, monkeypatch, days,
     assert {r["day"]: r["count"] for r in got.groupBy("day").count().collect()} == days
 
 
+def test_short_amounts_are_summed_exactly_in_longs(spark):
+    cases = ["0.00", "0.01", "0.29", "1.15", "-0.07", "4503599627.37", "9999999999.99", "-9999999999.99", "1234567890.12"]
+    rows = spark.createDataFrame([(i % 4, i % 3, p, f if i % 5 else None) for i, (p, f) in enumerate((p, f) for p in cases for f in cases)], "day int, basket_no int, p string, f string")
+
+    def totals(kind):
+        return baskets.basket_totals(rows.select("day", "basket_no", *[F.col(c).cast(kind).alias(c) for c in "pf"]), "day", "p", "f")
+
+    short, wide = totals("decimal(12,2)"), totals("decimal(14,2)")
+    assert short.schema == wide.schema and sorted(short.collect()) == sorted(wide.collect()) and short.count() == 12
+    plan = short._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sum(cast(rint(") == 2
+
+
 def test_basket_size_shares(spark):
     r = spark.range(20000).select(F.lit(7).alias("day"), F.col("id").alias("k")).select(baskets.basket_size("day", "k").alias("s")).toPandas().s
     shares = [(r == 1).mean(), r.between(2, 4).mean(), r.between(5, 8).mean(), r.between(9, 10).mean(), r.between(11, 50).mean()]
